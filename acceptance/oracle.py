@@ -568,6 +568,80 @@ ORACLE["top_monthly_spenders"] = _with(
 
 ORACLE["incremental_load_batches"] = _with("txn", "select * from txn")
 ORACLE["incremental_load_stream"] = _with("txn", "select * from txn")
+
+# Step -> (rows in, rows out, rejected), each a table or a count, of a run over the damaged files.
+AUDIT = {
+    "bronze_customer": ("cust_dirty", "cust_dirty", None),
+    "bronze_branch": ("branch_dirty", "branch_dirty", None),
+    "bronze_transactions": ("txn_dirty", "txn_dirty", None),
+    "silver_customer": (
+        "cust_dirty",
+        "silver_cust",
+        "cust_dirty where customer_id is null or account_number is null or account_type is null",
+    ),
+    "silver_branch": (
+        "branch_dirty",
+        "silver_branch",
+        "branch_dirty where branch_id is null or branch_name is null",
+    ),
+    "silver_transactions": ("txn_dirty", "silver_txn", "checked where reason is not null"),
+}
+_GOLD_STEPS = {
+    "fraud_alerts_high_value": ("FRAUD_HIGH_VALUE", "silver_txn where amount > 490000"),
+    "fraud_alerts_burst": (
+        "FRAUD_BURST",
+        """(select 1 from silver_txn group by account_number,
+           time_bucket(interval 10 minute, transaction_timestamp) having count(*) > 1) found""",
+    ),
+    "fraud_alerts_high_daily_spend": (
+        "FRAUD_HIGH_SPEND",
+        """(select 1 from silver_txn where transaction_type = 'DEBIT' group by account_number, transaction_date
+           having sum(amount) > 400000) found""",
+    ),
+    "fraud_alerts_dormant": (
+        "FRAUD_DORMANT",
+        """(select 1 from silver_txn group by account_number
+           having count(*) <= 10 and max(transaction_date) >= date '2001-06-01'
+              and date_diff('day', min(transaction_date), max(transaction_date)) > 180) found""",
+    ),
+    "customer_summary_monthly": (
+        "CUSTOMER_MONTHLY",
+        """(select distinct account_number, year(transaction_date), month(transaction_date) from silver_txn
+           where transaction_type = 'DEBIT') found""",
+    ),
+    "customer_summary_overall_kpi": (
+        "CUSTOMER_KPI",
+        "(select distinct account_number from silver_txn) found",
+    ),
+    "branch_summary_by_branch": ("BRANCH_SUMMARY", "(select distinct branch_id from silver_linked) found"),
+    "branch_summary_by_region": ("REGION_SUMMARY", "(select distinct region from silver_linked) found"),
+}
+for _step, (_table, _rows) in _GOLD_STEPS.items():
+    AUDIT[_step] = ("silver_txn", _rows, None)
+    AUDIT[f"warehouse_{_table.lower()}"] = (_rows, _rows, None)
+
+SILVER_LINKED = """silver_linked as (
+  select c.branch_id, b.region from silver_txn t left join silver_cust c on t.account_number = c.account_number
+       left join silver_branch b on c.branch_id = b.branch_id)"""
+
+
+def _count(rows: str | None) -> str:
+    return f"(select count(*) from {rows})" if rows else "cast(0 as bigint)"
+
+
+ORACLE["audit_log"] = _with(
+    "txn_dirty cust_dirty branch_dirty",
+    " union all ".join(
+        f"""select '{step}' as step, {_count(rows_in)} as rows_in, {_count(rows_out)} as rows_out,
+            {_count(rejected)} as rows_rejected, '{STAMP}' as run_timestamp"""
+        for step, (rows_in, rows_out, rejected) in AUDIT.items()
+    ),
+    CHECKED,
+    SILVER_TXN,
+    SILVER_CUST,
+    SILVER_BRANCH,
+    SILVER_LINKED,
+)
 ORACLE["stream_high_value"] = ORACLE["fraud_high_value"]
 # Only what the final watermark has closed is emitted.
 ORACLE["stream_burst"] = _with(

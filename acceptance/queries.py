@@ -545,10 +545,11 @@ def incremental_load_batches(spark, sf):
     """Growing snapshots of one source, each loaded on top of the last, the final one twice."""
     path = scratch_folder(spark, "incremental") + "/transactions"
     txn = view(spark, sf, "txn")
+    # One folder per day would mean thousands of tiny files here.
     for day in LOAD_DAYS:
-        incremental_load(txn.filter(F.col("transaction_date") <= F.lit(day)), path)
-    incremental_load(txn, path)
-    incremental_load(txn, path)
+        incremental_load(txn.filter(F.col("transaction_date") <= F.lit(day)), path, partition_by=())
+    incremental_load(txn, path, partition_by=())
+    incremental_load(txn, path, partition_by=())
     return read_table(spark, path)
 
 
@@ -568,7 +569,8 @@ def audit_log(spark, sf):
     raw = {"customer": "cust_dirty", "branch": "branch_dirty", "transactions": "txn_dirty"}
     for entity, name in raw.items():
         write_csv(view(spark, sf, name), layer_path(root, "raw", entity))
-    daily = DailyRun(spark, root, STAMP, RULES)
+    # The tables hold a few rows per day, too few for one folder each.
+    daily = DailyRun(spark, root, STAMP, RULES, partition_by=())
     daily.run(FolderWarehouse(root))
     return daily.table("audit", "runs")
 

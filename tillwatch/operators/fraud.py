@@ -94,11 +94,11 @@ def dormant(
 
 def sliding_burst(
     txn: DataFrame,
-    width_seconds: int = 600,
+    width: str = DEFAULT_RULES.burst_width,
     max_count: int = DEFAULT_RULES.burst_over,
     detected_at: str | None = None,
 ) -> DataFrame:
-    """More than `max_count` transactions of an account in the `width_seconds` up to a moment.
+    """More than `max_count` transactions of an account in the time `width` up to a moment.
 
     Unlike `burst` this sees bursts across window edges. One row per account and
     moment at which the trailing count is too high; both ends are inclusive.
@@ -107,35 +107,37 @@ def sliding_burst(
     and each moment is also handed to the next slice as history, so a window
     task sees two widths of one account at most, never its whole life.
     """
-    width = width_seconds * 1_000_000
+    ts = "transaction_timestamp"
+    slot = F.window(ts, width)
     moments = (
-        txn.filter(F.col("transaction_timestamp").isNotNull())
-        .groupBy("account_number", "transaction_timestamp")
+        txn.filter(F.col(ts).isNotNull())
+        .groupBy("account_number", ts)
         .agg(F.count("transaction_id").alias("n"), F.sum("amount").alias("amount"))
-        .withColumn("micros", F.unix_micros(F.col("transaction_timestamp").cast("timestamp")))
     )
-    sliced = moments.withColumn("own", F.expr(f"micros div {width}")).withColumn(
-        "slice", F.explode(F.array(F.col("own"), F.col("own") + 1))
+    sliced = (
+        moments.withColumn("slot", slot)
+        .withColumn("slice", F.explode(F.array("slot.start", "slot.end")))
+        .withColumn("own", F.col("slice") == F.col("slot.start"))
+        .drop("slot")
     )
     trailing = (
-        Window.partitionBy("account_number", "slice").orderBy("micros").rangeBetween(-width, 0)
+        f"over (partition by account_number, slice order by {ts} "
+        f"range between interval '{width}' preceding and current row)"
     )
-    counted = (
-        sliced.withColumns(
-            {"txn_count": F.sum("n").over(trailing), "total_amount": F.sum("amount").over(trailing)}
-        )
-        .filter((F.col("slice") == F.col("own")) & (F.col("txn_count") > max_count))
-        .select(
-            "account_number",
-            (F.col("transaction_timestamp") - F.expr(f"make_dt_interval(0, 0, 0, {width_seconds})")).alias(
-                "window_start"
-            ),
-            F.col("transaction_timestamp").alias("window_end"),
-            "txn_count",
-            "total_amount",
-        )
+    counted = sliced.withColumns(
+        {
+            "txn_count": F.expr(f"sum(n) {trailing}"),
+            "total_amount": F.expr(f"sum(amount) {trailing}"),
+        }
+    )
+    found = counted.filter(F.col("own") & (F.col("txn_count") > max_count)).select(
+        "account_number",
+        F.expr(f"{ts} - interval '{width}'").alias("window_start"),
+        F.col(ts).alias("window_end"),
+        "txn_count",
+        "total_amount",
     )
-    return _flag(counted, SLIDING_BURST, detected_at)
+    return _flag(found, SLIDING_BURST, detected_at)
 
 
 def reactivated(

@@ -24,10 +24,16 @@ def _sum_of(txn_type: str) -> Column:
 
 
 def link_branch(txn: DataFrame, cust: DataFrame, branch: DataFrame) -> DataFrame:
-    """Every transaction with its branch; unknown accounts keep null branch columns."""
-    owner = cust.select("account_number", "branch_id")
+    """Every transaction with its branch; unknown accounts keep null branch columns.
+
+    Customers meet their branch first, so the transactions take part in one join
+    only. Where that join has to shuffle, adaptive execution splits a busy account.
+    """
     place = branch.select(*BRANCH_COLUMNS)
-    return txn.drop("city").join(owner, "account_number", "left").join(place, "branch_id", "left")
+    owner = cust.select("account_number", "branch_id").join(place, "branch_id", "left")
+    facts = [c for c in txn.columns if c not in ("account_number", "city")]
+    linked = txn.drop("city").join(owner, "account_number", "left")
+    return linked.select("branch_id", "account_number", *facts, *BRANCH_COLUMNS[1:])
 
 
 def account_totals(txn: DataFrame) -> DataFrame:

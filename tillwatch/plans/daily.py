@@ -5,7 +5,7 @@ Steps hand over through stored tables, so a run can be repeated from any step.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,7 +49,11 @@ class DailyRun:
     rules: RuleParams = DEFAULT_RULES
     strict: bool = False
     skip_empty: bool = False
+    partition_by: tuple[str, ...] = ("transaction_date",)
     fmt: str = DEFAULT_FORMAT
+    # Tables this run has opened, and their row counts, until it writes them again.
+    _open: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    _rows: dict[str, int] = field(default_factory=dict, repr=False)
 
     @classmethod
     def now(cls, spark: SparkSession, root: str, **options: object) -> DailyRun:
@@ -59,14 +63,26 @@ class DailyRun:
         return layer_path(self.root, layer, entity)
 
     def table(self, layer: str, entity: str) -> DataFrame:
-        return read_table(self.spark, self.path(layer, entity), self.fmt)
+        """A stored table; its files are listed once."""
+        path = self.path(layer, entity)
+        if path not in self._open:
+            self._open[path] = read_table(self.spark, path, self.fmt)
+        return self._open[path]
 
     def rows(self, layer: str, entity: str) -> int:
         """Rows of a stored table; Parquet answers this from its footers."""
-        return self.table(layer, entity).count()
+        path = self.path(layer, entity)
+        if path not in self._rows:
+            self._rows[path] = self.table(layer, entity).count()
+        return self._rows[path]
 
     def write(self, df: DataFrame, layer: str, entity: str, **options: object) -> bool:
-        return write_table(df, self.path(layer, entity), self.fmt, **options)
+        path = self.path(layer, entity)
+        written = write_table(df, path, self.fmt, **options)
+        if written:
+            self._open.pop(path, None)
+            self._rows.pop(path, None)
+        return written
 
     def note(self, step: str, rows_in: int, rows_out: int, rejected: int = 0) -> None:
         """Append one row to the audit table."""
@@ -106,7 +122,7 @@ class DailyRun:
         source = self.table("bronze", "transactions")
         _, rejected = routing.split_transactions(source, self.strict, self.stamp)
         clean = layers.silver_transactions(source, self.strict, self.stamp)
-        self._finish_silver("transactions", clean, rejected, partition_by=("transaction_date",))
+        self._finish_silver("transactions", clean, rejected, partition_by=self.partition_by)
 
     def detect_fraud(self) -> None:
         txn = self.table("silver", "transactions")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,11 +45,12 @@ def incremental_load(
     ts: str = "transaction_timestamp",
     day: str = "transaction_date",
     lateness_days: int = 0,
+    partition_by: Sequence[str] = ("transaction_date",),
 ) -> None:
-    """Append the fresh rows to the table at `path`, partitioned by `day`; repeatable."""
+    """Append the fresh rows to the table at `path`; repeatable, as rows already there stay out."""
     spark = source.sparkSession
     if stored_schema(spark, path) is None:
-        write_table(source, path, partition_by=[day])
+        write_table(source, path, partition_by=partition_by)
         return
     fresh = fresh_rows(source, read_table(spark, path), key, ts, day, lateness_days)
-    write_table(fresh, path, mode="append", partition_by=[day])
+    write_table(fresh, path, mode="append", partition_by=partition_by)
