@@ -566,7 +566,7 @@ ORACLE["top_monthly_spenders"] = _with(
 
 # ---- incremental, audit, streams ---------------------------------------------------------
 
-ORACLE["incremental_load_batches"] = _with("txn", "select * from txn")
+ORACLE["incremental_load"] = _with("txn", "select * from txn")
 ORACLE["incremental_load_stream"] = _with("txn", "select * from txn")
 
 # Step -> (rows in, rows out, rejected), each a table or a count, of a run over the damaged files.

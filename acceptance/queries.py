@@ -16,9 +16,8 @@ from acceptance.views import base_table, over, view
 from tillwatch.functions.audit import with_constants
 from tillwatch.functions.typed import as_timestamp
 from tillwatch.operators import fraud, projection, quality, reports, routing, summaries
-from tillwatch.plans import layers
 from tillwatch.plans.daily import WAREHOUSE_TABLES, DailyRun
-from tillwatch.plans.incremental import incremental_load
+from tillwatch.plans import incremental, layers
 from tillwatch.schemas import CONTRACTS
 from tillwatch.settings import ACCOUNT_TYPES, HIGH_VALUE, RuleParams
 from tillwatch.sources.scratch import scratch_folder
@@ -541,15 +540,15 @@ def top_monthly_spenders(spark, sf):
 
 
 @query
-def incremental_load_batches(spark, sf):
+def incremental_load(spark, sf):
     """Growing snapshots of one source, each loaded on top of the last, the final one twice."""
     path = scratch_folder(spark, "incremental") + "/transactions"
     txn = view(spark, sf, "txn")
     # One folder per day would mean thousands of tiny files here.
     for day in LOAD_DAYS:
-        incremental_load(txn.filter(F.col("transaction_date") <= F.lit(day)), path, partition_by=())
-    incremental_load(txn, path, partition_by=())
-    incremental_load(txn, path, partition_by=())
+        incremental.incremental_load(txn.filter(F.col("transaction_date") <= F.lit(day)), path, partition_by=())
+    incremental.incremental_load(txn, path, partition_by=())
+    incremental.incremental_load(txn, path, partition_by=())
     return read_table(spark, path)
 
 

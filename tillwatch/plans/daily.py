@@ -8,6 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillwatch.functions.audit import run_stamp
 from tillwatch.operators import fraud, routing, summaries
@@ -17,7 +18,13 @@ from tillwatch.sources.scratch import scratch_folder
 from tillwatch.sources.tables import DEFAULT_FORMAT, layer_path, read_table, write_table
 from tillwatch.sources.warehouse import Warehouse, load_warehouse
 
-AUDIT_SCHEMA = "step string, rows_in long, rows_out long, rows_rejected long, run_timestamp string"
+AUDIT_TYPES = {
+    "step": "string",
+    "rows_in": "long",
+    "rows_out": "long",
+    "rows_rejected": "long",
+    "run_timestamp": "string",
+}
 
 # --- fixed values: gold folders and the warehouse tables filled from them ---
 ALERT_FOLDERS = {
@@ -86,9 +93,15 @@ class DailyRun:
 
     def note(self, step: str, rows_in: int, rows_out: int, rejected: int = 0) -> None:
         """Append one row to the audit table."""
-        row = [(step, rows_in, rows_out, rejected, self.stamp)]
-        log = self.spark.createDataFrame(row, AUDIT_SCHEMA).coalesce(1)
-        self.write(log, "audit", "runs", mode="append")
+        values = {
+            "step": step,
+            "rows_in": rows_in,
+            "rows_out": rows_out,
+            "rows_rejected": rejected,
+            "run_timestamp": self.stamp,
+        }
+        row = [F.lit(v).cast(AUDIT_TYPES[name]).alias(name) for name, v in values.items()]
+        self.write(self.spark.range(1, numPartitions=1).select(*row), "audit", "runs", mode="append")
 
     def load_bronze(self, entity: str) -> None:
         df = layers.bronze(self.spark, self.path("raw", entity), entity, self.stamp)
