@@ -52,10 +52,10 @@ HEADLINES = (
 )
 
 
-def plain_kpi(spark: SparkSession, sf: str) -> DataFrame:
+def plain_kpi_of(txn: DataFrame, cust: DataFrame) -> DataFrame:
     """Join first, aggregate after."""
-    cust = view(spark, sf, "cust_orphan").withColumnsRenamed({"city": "customer_city", "state": "customer_state"})
-    joined = view(spark, sf, "txn").join(cust, "account_number", "left")
+    cust = cust.withColumnsRenamed({"city": "customer_city", "state": "customer_state"})
+    joined = txn.join(cust, "account_number", "left")
     debit, credit = [
         F.round(F.sum(F.when(F.col("transaction_type") == t, F.col("amount")).otherwise(0)), 2).alias(t)
         for t in ("DEBIT", "CREDIT")
@@ -64,14 +64,28 @@ def plain_kpi(spark: SparkSession, sf: str) -> DataFrame:
     return joined.groupBy(*keys).agg(debit, credit, F.count("transaction_id"), F.avg("amount"), F.max("amount"))
 
 
-def plain_region(spark: SparkSession, sf: str) -> DataFrame:
+def plain_region_of(txn: DataFrame, cust: DataFrame, branch: DataFrame) -> DataFrame:
     """Two distinct counts over joined transactions."""
-    linked = summaries.link_branch(*[view(spark, sf, v) for v in ("txn", "cust_orphan", "branch")])
-    return linked.groupBy("region").agg(
-        F.count("transaction_id"), F.sum("amount"), F.countDistinct("account_number"), F.countDistinct("branch_id")
+    return (
+        summaries.link_branch(txn, cust, branch)
+        .groupBy("region")
+        .agg(
+            F.count("transaction_id"),
+            F.sum("amount"),
+            F.countDistinct("account_number"),
+            F.countDistinct("branch_id"),
+        )
     )
 
 
+def plain_kpi(spark: SparkSession, sf: str) -> DataFrame:
+    return plain_kpi_of(view(spark, sf, "txn"), view(spark, sf, "cust_orphan"))
+
+
+def plain_region(spark: SparkSession, sf: str) -> DataFrame:
+    return plain_region_of(*[view(spark, sf, v) for v in ("txn", "cust_orphan", "branch")])
+
+
 def plain_dq(spark: SparkSession, sf: str) -> None:
     """One job per metric."""
     df = view(spark, sf, "txn_dirty")
