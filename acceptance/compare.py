@@ -39,6 +39,19 @@ def rows_of(columns: list[str], rows: list) -> tuple[list[str], list[tuple]]:
     return [columns[i] for i in order], sorted(plain, key=repr)
 
 
+# How the other engine names the types of both timestamp kinds, text and numbers.
+TYPES = {
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "double": "DOUBLE",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def difference(spark: SparkSession, con: duckdb.DuckDBPyConnection, sf_dir: str, query, sql: str) -> str | None:
     """None when columns and rows agree exactly, else a short description."""
     df = query(spark, sf_dir)
@@ -47,6 +60,10 @@ def difference(spark: SparkSession, con: duckdb.DuckDBPyConnection, sf_dir: str,
     theirs = rows_of([c[0] for c in result.description], result.fetchall())
     if ours[0] != theirs[0]:
         return f"columns {ours[0]} != {theirs[0]}"
+    kinds = {name: TYPES.get(kind, kind) for name, kind in df.dtypes}
+    other = {column[0]: str(column[1]) for column in result.description}
+    if kinds != other:
+        return f"types {sorted(set(kinds.items()) ^ set(other.items()))}"
     if ours[1] == theirs[1]:
         return None
     only_ours = sorted(set(ours[1]) - set(theirs[1]), key=repr)
