@@ -1,4 +1,4 @@
-"""Banking-shaped views over the shared test tables.
+"""Views that give the shared test tables the shape of accounts, branches and transactions.
 
 One SQL text serves both engines: base tables are written in braces, which Spark
 binds to frames and the other engine gets as plain names. The modulus terms

@@ -4,12 +4,19 @@ from datetime import date
 
 import pytest
 
+from tillwatch.operators import reports
 from tillwatch.plans.daily import WAREHOUSE_TABLES, DailyRun
 from tillwatch.plans.incremental import fresh_rows, incremental_load
-from tillwatch.settings import RuleParams
+from tillwatch.settings import BURST, DAILY_SPEND, DORMANT, HIGH_VALUE, RuleParams
 from tillwatch.sources.tables import read_table
 from tillwatch.sources.warehouse import FolderWarehouse
 
+ALERT_TABLES = {
+    HIGH_VALUE: "FRAUD_HIGH_VALUE",
+    BURST: "FRAUD_BURST",
+    DAILY_SPEND: "FRAUD_HIGH_SPEND",
+    DORMANT: "FRAUD_DORMANT",
+}
 CUSTOMERS = """customer_id,account_number,customer_name,account_type,branch_id,city,state,status
 c1,001,Ann, savings,b1, pune,mh,active
 c2,002,Bob,NRI,b1,pune,mh,closed
@@ -68,6 +75,28 @@ def test_whole_run(spark, root):
     assert (kpi.TOTAL_DEBIT, kpi.CUSTOMER_CITY, kpi.GOLD_LOAD_TIMESTAMP) == (1050010.0, "PUNE", run.stamp)
 
 
+def test_reports_read_the_warehouse(spark, root):
+    target = FolderWarehouse(root)
+    DailyRun(spark, root, "2026-01-01 00:00:00").run(target)
+    alerts = {name: target.read(spark, table) for name, table in ALERT_TABLES.items()}
+    kpi = target.read(spark, "CUSTOMER_KPI")
+    cards = {r.card: r.display for r in reports.overview_cards(kpi, kpi, alerts).collect()}
+    assert cards == {
+        "total_customers": "2",
+        "total_transactions": "6",
+        "total_debit": "₹0.1 Cr",
+        "total_alerts": "6",
+    }
+    assert [r.customer_name for r in reports.top_customers(kpi).collect()] == ["Ann", "Bob"]
+    assert {r.rule: r.alerts for r in reports.fraud_cards(alerts).collect()}["High Value"] == 3
+    assert [r.amount for r in reports.high_value_listing(alerts[HIGH_VALUE]).collect()] == [
+        "₹150,000",
+        "₹400,000",
+        "₹500,000",
+    ]
+    assert reports.region_metrics(target.read(spark, "REGION_SUMMARY")).count() == 2
+
+
 def test_a_second_run_gives_the_same_tables(spark, root):
     def contents():
         target = FolderWarehouse(root)

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tillwatch.operators import projection
+from tillwatch.plans import layers
 from tillwatch.schemas import CONTRACTS, RAW_COLUMNS, raw_schema
 from tillwatch.sources import tables
 from tillwatch.sources.scratch import scratch_folder
@@ -19,6 +20,26 @@ def test_leading_zeros_survive_the_raw_schema(spark, tmp_path):
     assert inferred.branch_id == 1
 
 
+def test_headers_decide_the_order_of_raw_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("region,branch_id,branch_name,city,state,note\nNorth,001,Main,Pune,MH,x\n")
+    row = layers.bronze(spark, str(tmp_path), "branch", "now").collect()[0]
+    assert (row.branch_id, row.region, row.note) == ("001", "North", "x")
+    assert (row.bronze_load_timestamp, row.source_file) == ("now", "raw/branch")
+
+
+def test_a_file_with_another_header_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("branch_id,branch_name,city,state,region\n001,Main,Pune,MH,North\n")
+    (tmp_path / "b.csv").write_text("region,branch_name,city,state,branch_id\nNorth,Side,Pune,MH,002\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        layers.bronze(spark, str(tmp_path), "branch").collect()
+
+
+def test_a_missing_raw_column_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("branch_id,branch_name\n001,Main\n")
+    with pytest.raises(ValueError, match="city, state, region"):
+        layers.bronze(spark, str(tmp_path), "branch")
+
+
 def test_overwrite_replaces_and_empty_frames_empty_the_table(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.write_table(spark.range(5), path)

@@ -64,6 +64,20 @@ def test_daily_spend_stream(spark, tmp_path, feed, txns):
     assert [r.asDict() for r in out.collect()] == [r.asDict() for r in batch.collect()]
 
 
+def test_days_of_the_stream_follow_the_session_zone(spark, tmp_path, feed, txns):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # Both belong to March 1 in New York, but to different days in UTC.
+        rows = [("a", "2025-03-01 12:00:00", 700000), ("a", "2025-03-01 22:00:00", 700000)]
+        rows += [("b", "2025-03-05 05:00:00", 5)]
+        out = _run(spark, tmp_path, flows.stream_daily_spend(feed(rows)))
+        batch = fraud.daily_spend(txns(rows))
+        assert [r.asDict() for r in out.collect()] == [r.asDict() for r in batch.collect()]
+        assert batch.count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.mark.parametrize("spread", [0, 8])
 def test_dedup_stream_keeps_one_row_per_id(spark, tmp_path, feed, spread):
     rows = [("a", f"2025-03-01 10:00:0{i}", i) for i in range(5)]

@@ -1 +1 @@
-"""Transaction monitoring as a library of PySpark DataFrame operators."""
+"""Checks, alerts and summaries of financial transactions as PySpark DataFrame operators."""

@@ -19,7 +19,8 @@ def outside(name: str, allowed: Sequence[str]) -> Column:
 
 def in_future(name: str, as_of: datetime | None) -> Column:
     """True where the parsed timestamp lies after `as_of` (default: now)."""
-    limit = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    # As text, a date without a zone means the session's zone and not the driver's.
+    limit = F.current_timestamp() if as_of is None else F.lit(str(as_of)).cast("timestamp")
     return as_timestamp(name) > limit
 
 

@@ -144,12 +144,12 @@ def branch_cards(branch: DataFrame, summary: DataFrame) -> DataFrame:
 
 
 def top_branches(summary: DataFrame, n: int = 10) -> DataFrame:
-    return top_rows(summary, "total_amount", n, "branch_id").drop("gold_load_timestamp")
+    return top_rows(summary, "total_amount", n, "branch_id")
 
 
 def ranked_regions(summary: DataFrame) -> DataFrame:
     """All regions, the largest amount first."""
-    return summary.drop("gold_load_timestamp").orderBy(F.desc_nulls_last("total_amount"), "region")
+    return summary.orderBy(F.desc_nulls_last("total_amount"), "region")
 
 
 def region_metrics(summary: DataFrame) -> DataFrame:

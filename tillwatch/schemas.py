@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import types as T
 
 # --- fixed values: entity columns, in file order ---
@@ -133,6 +135,14 @@ CONTRACTS = {
 # --- end of fixed values ---
 
 
-def raw_schema(entity: str) -> T.StructType:
-    """Every raw column is text, so `001` stays `001` and one bad value cannot retype a column."""
-    return T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS[entity]])
+def raw_schema(entity: str, header: Sequence[str] | None = None) -> T.StructType:
+    """Every raw column is text, so `001` stays `001` and one bad value cannot retype a column.
+
+    Columns stand in the order of `header`, which may hold more than the entity
+    needs; one that lacks a column is an error.
+    """
+    names = RAW_COLUMNS[entity] if header is None else header
+    missing = [name for name in RAW_COLUMNS[entity] if name not in names]
+    if missing:
+        raise ValueError(f"raw {entity} lacks columns: {', '.join(missing)}")
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])

@@ -21,10 +21,20 @@ def layer_path(root: str, layer: str, entity: str) -> str:
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, header: bool = True
 ) -> DataFrame:
-    """CSV files with a header. Without a schema one is inferred, at the price of a second pass."""
+    """CSV files. Without a schema one is inferred, at the price of a second pass.
+
+    With a schema every file's header has to name the same columns in the same
+    order; Spark's default would relabel them by position.
+    """
     reader = spark.read.option("header", header)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
+
+
+def csv_columns(spark: SparkSession, path: str) -> list[str]:
+    """Column names in the header of CSV files; reads one line."""
+    return spark.read.option("header", True).csv(path).columns
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -62,16 +62,19 @@ def stream_daily_spend(
     """Daily spend, emitted once when the watermark has passed the day.
 
     The day is a window here, because state is only dropped for windows. Windows
-    start at midnight UTC, as days do in a session whose time zone is UTC.
+    start at midnight UTC, so times are moved by the session's zone and back.
     """
+    zone = F.current_timezone()
+    local = F.from_utc_timestamp(F.col("transaction_timestamp").cast("timestamp"), zone)
+    debits = txn.filter(F.col("transaction_type") == txn_type).withColumn("transaction_timestamp", local)
     spent = (
-        with_event_time(txn.filter(F.col("transaction_type") == txn_type), delay)
+        with_event_time(debits, delay)
         .groupBy("account_number", F.window("transaction_timestamp", "1 day").alias("day"))
         .agg(F.sum("amount").alias("daily_spend"), F.count("transaction_id").alias("txn_count"))
         .filter(F.col("daily_spend") > threshold)
         .select(
             "account_number",
-            F.col("day.start").cast("date").alias("transaction_date"),
+            F.to_utc_timestamp("day.start", zone).cast("date").alias("transaction_date"),
             "daily_spend",
             "txn_count",
         )
