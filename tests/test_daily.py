@@ -4,19 +4,15 @@ from datetime import date
 
 import pytest
 
-from tillwatch.operators import reports
+import run_daily
+
 from tillwatch.plans.daily import WAREHOUSE_TABLES, DailyRun
 from tillwatch.plans.incremental import fresh_rows, incremental_load
-from tillwatch.settings import BURST, DAILY_SPEND, DORMANT, HIGH_VALUE, RuleParams
+from tillwatch.plans.page import page_datasets, warehouse_tables
+from tillwatch.settings import RuleParams
 from tillwatch.sources.tables import read_table
 from tillwatch.sources.warehouse import FolderWarehouse
 
-ALERT_TABLES = {
-    HIGH_VALUE: "FRAUD_HIGH_VALUE",
-    BURST: "FRAUD_BURST",
-    DAILY_SPEND: "FRAUD_HIGH_SPEND",
-    DORMANT: "FRAUD_DORMANT",
-}
 CUSTOMERS = """customer_id,account_number,customer_name,account_type,branch_id,city,state,status
 c1,001,Ann, savings,b1, pune,mh,active
 c2,002,Bob,NRI,b1,pune,mh,closed
@@ -78,23 +74,23 @@ def test_whole_run(spark, root):
 def test_reports_read_the_warehouse(spark, root):
     target = FolderWarehouse(root)
     DailyRun(spark, root, "2026-01-01 00:00:00").run(target)
-    alerts = {name: target.read(spark, table) for name, table in ALERT_TABLES.items()}
-    kpi = target.read(spark, "CUSTOMER_KPI")
-    cards = {r.card: r.display for r in reports.overview_cards(kpi, kpi, alerts).collect()}
-    assert cards == {
+    silver = DailyRun(spark, root, "later")
+    page = page_datasets(
+        warehouse_tables(spark, target), silver.table("silver", "customer"), silver.table("silver", "branch")
+    )
+    rows = {name: df.collect() for name, df in page.items()}
+    assert len(rows) == 17
+    assert all(rows.values())
+    assert {r.card: r.display for r in rows["overview_cards"]} == {
         "total_customers": "2",
         "total_transactions": "6",
         "total_debit": "₹0.1 Cr",
         "total_alerts": "6",
     }
-    assert [r.customer_name for r in reports.top_customers(kpi).collect()] == ["Ann", "Bob"]
-    assert {r.rule: r.alerts for r in reports.fraud_cards(alerts).collect()}["High Value"] == 3
-    assert [r.amount for r in reports.high_value_listing(alerts[HIGH_VALUE]).collect()] == [
-        "₹150,000",
-        "₹400,000",
-        "₹500,000",
-    ]
-    assert reports.region_metrics(target.read(spark, "REGION_SUMMARY")).count() == 2
+    assert [r.customer_name for r in rows["top_customers"]] == ["Ann", "Bob"]
+    assert {r.rule: r.alerts for r in rows["fraud_cards"]}["High Value"] == 3
+    assert [r.amount for r in rows["high_value_listing"]] == ["₹150,000", "₹400,000", "₹500,000"]
+    assert len(rows["region_metrics"]) == 2
 
 
 def test_a_second_run_gives_the_same_tables(spark, root):
@@ -124,6 +120,18 @@ def test_skipping_empty_alerts_keeps_the_earlier_ones(spark, root):
     assert again.rows("gold", "fraud_alerts/dormant") == 1
 
 
+def test_steps_from_the_command_line(spark, root):
+    run_daily.main([root, "--step", "bronze", "--step", "silver_transactions", "--strict"])
+    run = DailyRun(spark, root, "later")
+    log = {r.step: r.rows_rejected for r in run.table("audit", "runs").collect()}
+    assert log == {
+        "bronze_customer": 0,
+        "bronze_branch": 0,
+        "bronze_transactions": 0,
+        "silver_transactions": 3,
+    }
+
+
 def test_now_takes_one_stamp(spark, root):
     run = DailyRun.now(spark, root, strict=True)
     assert len(run.stamp) == 19

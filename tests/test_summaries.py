@@ -120,6 +120,38 @@ def test_big_transactions_join_once(star):
     assert plan.index("Join") < plan.rindex("Aggregate")
 
 
+def test_a_busy_account_is_split_in_the_row_level_link(spark, star):
+    """A third of the transactions belong to one account and nothing is small enough to broadcast."""
+    from pyspark.sql import functions as F
+
+    txn = spark.range(0, 900_000, 1, 8).select(
+        F.col("id").alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("a1"))
+        .otherwise(F.concat(F.lit("x"), F.col("id") % 5000))
+        .alias("account_number"),
+        F.sha2(F.col("id").cast("string"), 256).alias("merchant_name"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2MB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        linked = summaries.link_branch(txn, star[1], star[2])
+        linked = linked.agg(F.count_if(F.col("region") == "NORTH"), F.max("merchant_name"), F.count("*"))
+        row = linked.collect()[0]
+        plan = linked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert (row[0], row[2]) == (300_000, 900_000)
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 def test_reports_drop_null_groups_and_rank(star):
     txn, cust, branch = star
     kpi = summaries.customer_kpi(txn, cust)
