@@ -78,6 +78,10 @@ def plain_region_of(txn: DataFrame, cust: DataFrame, branch: DataFrame) -> DataF
     )
 
 
+def plain_dq(spark: SparkSession, sf: str) -> None:
+    plain_dq_of(view(spark, sf, "txn_dirty"))
+
+
 def plain_kpi(spark: SparkSession, sf: str) -> DataFrame:
     return plain_kpi_of(view(spark, sf, "txn"), view(spark, sf, "cust_orphan"))
 
@@ -86,9 +90,8 @@ def plain_region(spark: SparkSession, sf: str) -> DataFrame:
     return plain_region_of(*[view(spark, sf, v) for v in ("txn", "cust_orphan", "branch")])
 
 
-def plain_dq(spark: SparkSession, sf: str) -> None:
+def plain_dq_of(df: DataFrame) -> None:
     """One job per metric."""
-    df = view(spark, sf, "txn_dirty")
     stamp = F.try_to_timestamp("transaction_timestamp")
     for check in (
         F.lit(True),

@@ -1,10 +1,9 @@
 """Times operators against their straightforward forms on enlarged, skewed tables.
 
-    python scale_check.py [copies]
+    python scale_check.py [copies] [case ...]
 
 Spark derives the tables from the test orders: every order appears `copies`
-times at other moments, and a third of all rows goes to one account. Both forms
-have to give the same number of rows.
+times at other moments, and a third of all rows goes to one account.
 """
 
 from __future__ import annotations
@@ -12,6 +11,8 @@ from __future__ import annotations
 import json
 import sys
 import time
+from collections.abc import Callable
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from acceptance.views import over, view  # noqa: E402
-from bench import plain_kpi_of, plain_region_of  # noqa: E402
-from tillwatch.operators import fraud, routing, summaries  # noqa: E402
+from bench import plain_dq_of, plain_kpi_of, plain_region_of  # noqa: E402
+from tillwatch.operators import fraud, quality, routing, summaries  # noqa: E402
 from tillwatch.sources.scratch import scratch_folder  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.1"
@@ -64,6 +65,15 @@ def plain_dedup(df: DataFrame) -> DataFrame:
     return df.dropDuplicates(["transaction_id"])
 
 
+def write(df: DataFrame) -> None:
+    """Compute every row and column, keep nothing."""
+    df.write.mode("overwrite").format("noop").save()
+
+
+def frames(ours: DataFrame, plain: DataFrame) -> tuple[Callable[[], None], Callable[[], None]]:
+    return lambda: write(ours), lambda: write(plain)
+
+
 def main() -> None:
     copies = int(sys.argv[1]) if len(sys.argv) > 1 else 200
     spark = (
@@ -86,24 +96,30 @@ def main() -> None:
     copied = txn.withColumn(
         "transaction_id", F.when(F.col("account_number") == 1, F.lit(0)).otherwise(F.col("transaction_id"))
     )
+    orders = spark.read.parquet(path)
+    damaged = scratch_folder(spark, "scale") + "/damaged"
+    over(spark, "txn_dirty", orders).write.parquet(damaged)
+    dirty = spark.read.parquet(damaged)
     cases = {
-        "customer_kpi": (summaries.customer_kpi(txn, cust), plain_kpi_of(txn, cust)),
-        "region_summary": (
+        "quality": (
+            lambda: write(quality.transaction_quality(dirty, datetime(2000, 1, 1))),
+            lambda: plain_dq_of(dirty),
+        ),
+        "customer_kpi": frames(summaries.customer_kpi(txn, cust), plain_kpi_of(txn, cust)),
+        "region_summary": frames(
             summaries.region_summary(txn, cust, branch),
             plain_region_of(txn, cust, branch),
         ),
-        "sliding_burst": (fraud.sliding_burst(txn), plain_sliding(txn)),
-        "reactivated": (fraud.reactivated(txn), plain_reactivated(txn)),
-        "dedup": (routing.dedup(copied, ["transaction_id"]), plain_dedup(copied)),
+        "sliding_burst": frames(fraud.sliding_burst(txn), plain_sliding(txn)),
+        "reactivated": frames(fraud.reactivated(txn), plain_reactivated(txn)),
+        "dedup": frames(routing.dedup(copied, ["transaction_id"]), plain_dedup(copied)),
     }
     print(json.dumps({"rows": txn.count(), "hot": txn.filter("account_number = 1").count()}), flush=True)
-    for name, forms in cases.items():
+    for name in sys.argv[2:] or cases:
         result = {"case": name}
-        for label, df in zip(("ours", "plain"), forms, strict=True):
+        for label, run in zip(("ours", "plain"), cases[name], strict=True):
             start = time.perf_counter()
-            result[f"{label}_rows"] = df.count() if name != "dedup" else None
-            if name == "dedup":
-                df.write.mode("overwrite").format("noop").save()
+            run()
             result[label] = round(time.perf_counter() - start, 1)
         print(json.dumps(result), flush=True)
 

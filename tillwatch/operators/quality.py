@@ -1,4 +1,4 @@
-"""Data-quality counts, all metrics of a table in one pass."""
+"""Data-quality counts."""
 
 from __future__ import annotations
 
@@ -24,10 +24,19 @@ def in_future(name: str, as_of: datetime | None) -> Column:
     return as_timestamp(name) > limit
 
 
-def surplus_rows(key: str) -> Column:
-    """Rows that deduplication on `key` would drop; all null keys count as one value."""
-    distinct = F.count_distinct(F.col(key)) + F.coalesce(F.max(F.col(key).isNull().cast("int")), F.lit(0))
-    return F.count(F.lit(1)) - distinct
+def duplicate_counts(df: DataFrame, key: str) -> DataFrame:
+    """Rows, rows kept by deduplication on `key`, and rows it drops; null keys count as one value.
+
+    Keys are counted within tasks first, and only keys with their counts are shuffled.
+    """
+    copies = df.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
+    total = F.coalesce(F.sum("copies"), F.lit(0))
+    kept = F.count(F.lit(1))
+    return copies.agg(
+        total.alias("total_records"),
+        kept.alias("distinct_records"),
+        (total - kept).alias("duplicate_records"),
+    )
 
 
 def quality_report(
@@ -39,19 +48,26 @@ def quality_report(
     not_future: Sequence[str] = (),
     as_of: datetime | None = None,
 ) -> DataFrame:
-    """One row per metric. The single distinct count makes the only shuffle, on `key`."""
+    """One row per metric.
+
+    All plain counts come from one pass without a shuffle. Duplicates are counted
+    apart, over the key column alone: in one aggregate every key would have to
+    carry all other counters through the shuffle.
+    """
     checks: dict[str, Column] = {"total_records": F.count(F.lit(1))}
     for name in not_null:
         checks[f"null_{name}"] = F.count_if(F.col(name).isNull())
-    checks[f"duplicate_{key}"] = surplus_rows(key)
     for name in non_negative:
         checks[f"negative_{name}"] = F.count_if(as_number(name) < 0)
     for name in not_future:
         checks[f"future_{name}"] = F.count_if(in_future(name, as_of))
     for name, allowed in (domains or {}).items():
         checks[f"invalid_{name}"] = F.count_if(outside(name, allowed))
-    one_row = df.agg(*[check.alias(metric) for metric, check in checks.items()])
-    return one_row.unpivot([], list(checks), "metric", "value")
+    counts = df.agg(*[check.alias(metric) for metric, check in checks.items()])
+    duplicates = duplicate_counts(df, key).select(
+        F.lit(f"duplicate_{key}").alias("metric"), F.col("duplicate_records").alias("value")
+    )
+    return counts.unpivot([], list(checks), "metric", "value").unionByName(duplicates)
 
 
 def customer_quality(df: DataFrame) -> DataFrame:
@@ -81,17 +97,6 @@ def transaction_quality(df: DataFrame, as_of: datetime | None = None) -> DataFra
     )
 
 
-def duplicate_counts(df: DataFrame, key: str) -> DataFrame:
-    """Rows, rows kept by deduplication on `key`, and rows it drops."""
-    surplus = surplus_rows(key)
-    total = F.count(F.lit(1))
-    return df.agg(
-        total.alias("total_records"),
-        (total - surplus).alias("distinct_records"),
-        surplus.alias("duplicate_records"),
-    )
-
-
 def describe_table(df: DataFrame) -> DataFrame:
     """Position, name and type of every column with its non-null count, from one pass."""
     names = df.columns
