@@ -94,35 +94,39 @@ def dormant(
 
 def sliding_burst(
     txn: DataFrame,
-    width: str = DEFAULT_RULES.burst_width,
+    minutes: int = 10,
     max_count: int = DEFAULT_RULES.burst_over,
     detected_at: str | None = None,
+    slice_minutes: int = 60,
 ) -> DataFrame:
-    """More than `max_count` transactions of an account in the time `width` up to a moment.
+    """More than `max_count` transactions of an account in the `minutes` up to a moment.
 
     Unlike `burst` this sees bursts across window edges. One row per account and
     moment at which the trailing count is too high; both ends are inclusive.
 
-    Equal moments are folded first. Time is then cut into slices of one width,
-    and each moment is also handed to the next slice as history, so a window
-    task sees two widths of one account at most, never its whole life.
+    Equal moments are folded first. Time is then cut into slices that each start
+    with `minutes` of history, so a window task sees one slice of one account,
+    never its whole life, and only the history is held twice.
     """
     ts = "transaction_timestamp"
-    slot = F.window(ts, width)
+    slices = F.window(ts, f"{slice_minutes + minutes} minutes", f"{slice_minutes} minutes")
     moments = (
         txn.filter(F.col(ts).isNotNull())
         .groupBy("account_number", ts)
         .agg(F.count("transaction_id").alias("n"), F.sum("amount").alias("amount"))
     )
-    sliced = (
-        moments.withColumn("slot", slot)
-        .withColumn("slice", F.explode(F.array("slot.start", "slot.end")))
-        .withColumn("own", F.col("slice") == F.col("slot.start"))
-        .drop("slot")
+    back = F.expr(f"interval '{minutes}' minute")
+    sliced = moments.withColumn("slice", slices).select(
+        "account_number",
+        ts,
+        "n",
+        "amount",
+        F.col("slice.start").alias("slice"),
+        (F.col(ts) >= F.col("slice.start") + back).alias("own"),
     )
     trailing = (
         f"over (partition by account_number, slice order by {ts} "
-        f"range between interval '{width}' preceding and current row)"
+        f"range between interval '{minutes}' minute preceding and current row)"
     )
     counted = sliced.withColumns(
         {
@@ -132,7 +136,7 @@ def sliding_burst(
     )
     found = counted.filter(F.col("own") & (F.col("txn_count") > max_count)).select(
         "account_number",
-        F.expr(f"{ts} - interval '{width}'").alias("window_start"),
+        (F.col(ts) - back).alias("window_start"),
         F.col(ts).alias("window_end"),
         "txn_count",
         "total_amount",
