@@ -84,6 +84,17 @@ def test_day_folders_prune(spark, tmp_path, txns):
     assert all(len(list(folder.glob("*.parquet"))) == 1 for folder in (tmp_path / "t").glob("transaction_date=*"))
 
 
+def test_a_fixed_number_of_tasks_shares_a_hot_day(spark, tmp_path):
+    path = tmp_path / "t"
+    df = spark.range(0, 3000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("day"), "id"
+    )
+    tables.write_table(df, str(path), partition_by=["day"], tasks=6)
+    assert len(list((path / "day=hot").glob("*.parquet"))) >= 2
+    assert len(list(path.glob("day=*/*.parquet"))) <= 51 + 6
+    assert tables.read_table(spark, str(path)).count() == 3000
+
+
 def test_an_oversized_day_is_cut_into_several_files(spark, tmp_path):
     """A third of all rows lies in one day; adaptive execution spreads it over tasks."""
     path = tmp_path / "t"

@@ -74,6 +74,17 @@ def align_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*kept, *added)
 
 
+def _by_folder(df: DataFrame, partition_by: Sequence[str], tasks: int | None) -> DataFrame:
+    """Bring the rows of one folder together, so that it gets few files, but split big folders."""
+    if tasks is None:
+        # Adaptive execution sizes the tasks by bytes and cuts an oversized folder.
+        return df.hint("rebalance", *partition_by)
+    # Even ranges of folder and row hash: for many small folders, where the number
+    # of files and not of bytes is the work. Costs a sampling pass over the input.
+    spread = F.xxhash64(*[name for name in df.columns if name not in partition_by])
+    return df.repartitionByRange(tasks, *partition_by, spread)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -82,11 +93,13 @@ def write_table(
     partition_by: Sequence[str] = (),
     merge_schema: bool = False,
     skip_empty: bool = False,
+    tasks: int | None = None,
 ) -> bool:
     """Replace (or append to) the table at `path`; False when an empty frame was skipped.
 
     `path` must not be read by `df` itself. `skip_empty` leaves the earlier
     contents in place; otherwise an empty frame replaces them with an empty table.
+    `tasks` fixes how many tasks write a partitioned table.
     """
     if skip_empty and df.isEmpty():
         return False
@@ -94,9 +107,7 @@ def write_table(
         stored = stored_schema(df.sparkSession, path, fmt)
         df = df if stored is None else align_to(df, stored)
     if partition_by:
-        # Brings the rows of one directory together, so it gets few files, while
-        # adaptive execution cuts an oversized directory into several tasks again.
-        df = df.hint("rebalance", *partition_by)
+        df = _by_folder(df, partition_by, tasks)
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
