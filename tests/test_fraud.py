@@ -6,7 +6,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tillwatch.operators import fraud, reports
+from tests.conftest import CUST_SCHEMA
+from tillwatch.operators import fraud, reports, summaries
 from tillwatch.settings import BURST, DAILY_SPEND, DORMANT, HIGH_VALUE
 
 
@@ -157,6 +158,9 @@ def test_pushdown_reaches_the_files(spark, tmp_path, txns):
     plan = fraud.alert_counts({HIGH_VALUE: fraud.high_value(stored)})._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(amount,100000.0)" in plan
     assert "ReadSchema: struct<amount:double>" in plan
+    monthly = summaries.monthly_from_totals(summaries.month_totals(stored), spark.createDataFrame([], CUST_SCHEMA))
+    plan = monthly._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(transaction_type,DEBIT)" in plan
     plan = fraud.daily_spend(stored)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(transaction_type,DEBIT)" in plan
     assert "merchant_name" not in plan

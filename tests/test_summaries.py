@@ -63,6 +63,21 @@ def test_kpi_columns_and_sums(star):
     assert kpi.count() == 4
 
 
+def test_month_totals_feed_every_summary(star):
+    txn, cust, branch = star
+    months = summaries.month_totals(txn)
+    totals = summaries.account_totals_from_months(months)
+    pairs = [
+        (summaries.monthly_from_totals(months, cust), summaries.customer_monthly(txn, cust)),
+        (summaries.kpi_from_totals(totals, cust), summaries.customer_kpi(txn, cust)),
+        (summaries.branch_from_totals(totals, cust, branch), summaries.branch_summary(*star)),
+        (summaries.region_from_totals(totals, cust, branch), summaries.region_summary(*star)),
+    ]
+    for got, expected in pairs:
+        assert got.dtypes == expected.dtypes
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+
+
 def test_link_keeps_every_transaction(star):
     linked = summaries.link_branch(*star)
     assert linked.count() == 6
