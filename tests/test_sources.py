@@ -84,6 +84,15 @@ def test_day_folders_prune(spark, tmp_path, txns):
     assert all(len(list(folder.glob("*.parquet"))) == 1 for folder in (tmp_path / "t").glob("transaction_date=*"))
 
 
+def test_compact_writes_few_files(spark, tmp_path):
+    left = spark.range(0, 80_000, 1, 40).filter("id % 1000 = 7")
+    tables.write_table(left, str(tmp_path / "plain"))
+    tables.write_table(left, str(tmp_path / "compact"), compact=True)
+    assert len(list((tmp_path / "plain").glob("*.parquet"))) == 40
+    assert len(list((tmp_path / "compact").glob("*.parquet"))) == 1
+    assert tables.read_table(spark, str(tmp_path / "compact")).count() == 80
+
+
 def test_a_fixed_number_of_tasks_shares_a_hot_day(spark, tmp_path):
     path = tmp_path / "t"
     df = spark.range(0, 3000, 1, 4).select(

@@ -113,7 +113,7 @@ class DailyRun:
         self, entity: str, clean: DataFrame, rejected: DataFrame, partition_by: tuple[str, ...] = ()
     ) -> None:
         self.write(clean, "silver", entity, partition_by=partition_by)
-        written = self.write(rejected, "rejected", entity, skip_empty=self.skip_empty)
+        written = self.write(rejected, "rejected", entity, skip_empty=self.skip_empty, compact=True)
         self.note(
             f"silver_{entity}",
             self.rows("bronze", entity),
@@ -142,7 +142,15 @@ class DailyRun:
         rows_in = self.rows("silver", "transactions")
         for name, alerts in fraud.all_rules(txn, self.rules, self.stamp).items():
             folder = ALERT_FOLDERS[name]
-            written = self.write(alerts, "gold", folder, merge_schema=True, skip_empty=self.skip_empty)
+            written = self.write(
+                alerts,
+                "gold",
+                folder,
+                merge_schema=True,
+                skip_empty=self.skip_empty,
+                # The only rule that is a mere filter; the others end in a shuffle anyway.
+                compact=name == HIGH_VALUE,
+            )
             self.note(folder.replace("/", "_"), rows_in, self.rows("gold", folder) if written else 0)
 
     def build_summaries(self) -> None:

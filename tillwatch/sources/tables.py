@@ -94,12 +94,14 @@ def write_table(
     merge_schema: bool = False,
     skip_empty: bool = False,
     tasks: int | None = None,
+    compact: bool = False,
 ) -> bool:
     """Replace (or append to) the table at `path`; False when an empty frame was skipped.
 
     `path` must not be read by `df` itself. `skip_empty` leaves the earlier
     contents in place; otherwise an empty frame replaces them with an empty table.
-    `tasks` fixes how many tasks write a partitioned table.
+    `tasks` fixes how many tasks write a partitioned table. `compact` gathers what
+    a filter left of many tasks into few files; it shuffles the rows that are left.
     """
     if skip_empty and df.isEmpty():
         return False
@@ -108,6 +110,8 @@ def write_table(
         df = df if stored is None else align_to(df, stored)
     if partition_by:
         df = _by_folder(df, partition_by, tasks)
+    elif compact:
+        df = df.hint("rebalance")
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
