@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import DataFrameWriter
+from pyspark.sql import DataFrameReader, DataFrameWriter
 from pyspark.sql import functions as F
 
 from tillwatch.operators import projection
@@ -222,3 +222,15 @@ def test_jdbc_target_truncates_instead_of_dropping(monkeypatch, regions):
         "mode": "overwrite",
         "properties": {"user": "u"},
     }
+
+
+def test_jdbc_tables_are_read_slice_by_slice(monkeypatch, spark):
+    seen = []
+    monkeypatch.setattr(
+        DataFrameReader, "jdbc", lambda self, url, table, predicates=None, properties=None: seen.append(predicates)
+    )
+    months = [f"TXN_MONTH = {month}" for month in range(1, 13)]
+    target = JdbcWarehouse("jdbc:any://host/db", slices={"CUSTOMER_MONTHLY": months})
+    target.read(spark, "CUSTOMER_MONTHLY")
+    target.read(spark, "REGION_SUMMARY")
+    assert seen == [months, None]
