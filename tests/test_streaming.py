@@ -34,6 +34,20 @@ def test_high_value_stream_equals_batch(spark, tmp_path, feed, txns):
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_a_running_stream_picks_up_new_files(spark, tmp_path, feed):
+    out = str(tmp_path / "out")
+    alerts = flows.stream_high_value(feed([("a", "2025-03-01", 200000)]))
+    query = flows.start(alerts, out, str(tmp_path / "checkpoint"), every="0 seconds")
+    try:
+        query.processAllAvailable()
+        assert read_table(spark, out).count() == 1
+        feed([("b", "2025-03-02", 300000), ("c", "2025-03-02", 3)])
+        query.processAllAvailable()
+        assert sorted(r.account_number for r in read_table(spark, out).collect()) == ["a", "b"]
+    finally:
+        query.stop()
+
+
 def test_burst_stream_emits_closed_windows_once(spark, tmp_path, feed):
     first = [("a", f"2025-03-01 10:0{i}:00", 1) for i in range(4)]
     stream = flows.stream_burst(feed(first))

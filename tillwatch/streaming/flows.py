@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tillwatch.functions.audit import with_constants
 from tillwatch.operators import fraud
@@ -97,16 +98,19 @@ def stream_dedup(df: DataFrame, key: str, delay: str = "10 minutes", spread: int
     return timed.dropDuplicatesWithinWatermark([key])
 
 
-def run_to_end(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> None:
-    """Process everything available, append it to the table at `path`, and stop.
+def start(
+    df: DataFrame, path: str, checkpoint: str, every: str | None = None, fmt: str = "parquet"
+) -> StreamingQuery:
+    """Append a stream to the table at `path`, each `every` (such as `1 minute`) from now on.
 
-    Offsets and state live under `checkpoint`; running again takes only new files.
+    Without `every` the query takes what is available and ends. Offsets and state
+    live under `checkpoint`: a restarted query goes on where the last one stopped.
     """
-    query = (
-        df.writeStream.format(fmt)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
-    query.awaitTermination()
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start(path)
+
+
+def run_to_end(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> None:
+    """Process everything available and wait for it; running again takes only new files."""
+    start(df, path, checkpoint, fmt=fmt).awaitTermination()
