@@ -12,61 +12,126 @@ into powers of two, so that padding is only `capacity % i` per sequence of class
 from __future__ import annotations
 
 import os
-import re
-import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.text import text_chunks
+from tillwatch.llm.text import LETTERS_DIGITS, NOT_BLANK, Words, split_words, text_chunks
 
 CAPACITY = 2048
 CLASSES = 32
-CACHED_WORDS = 600_000
+KNOWN_WORDS = 1_000_000
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 )
 ID_BYTES = 4
-# White space for str.split() but not for the vocabularies.
-_CONTROLS = re.compile(r"[\x1c-\x1f]")
-_BLANKS = re.compile(r"[ \t\n\v\f\r]+")
+_MARKS = np.zeros(256, bool)
+_MARKS[list(b".,;:!?")] = True
+_ALNUM = LETTERS_DIGITS.copy()
+_ALNUM[128:] = False
 
 
 class WordTokenizer:
-    """Token ids as little-endian 32-bit bytes, encoded word by word with a bounded cache.
+    """Token ids as little-endian 32-bit bytes, encoded word by word with a bounded memory.
 
-    Right for tokenizers that drop white space before they merge, so that no token
-    and no context crosses a blank.
+    Right for tokenizers that lower-case, drop white space and part letters and
+    digits from marks before they merge, so that no token crosses such a border.
+    Words are remembered by their 64-bit hash.
     """
 
-    def __init__(self, path: str, cached_words: int = CACHED_WORDS) -> None:
+    def __init__(self, path: str, known_words: int = KNOWN_WORDS) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self._encode = Tokenizer.from_file(path).encode_batch_fast
-        self._known: dict[str, bytes] = {"": b""}
-        self._limit = cached_words
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split = [_BLANKS.split(t) if _CONTROLS.search(t) else t.split() for t in texts]
-        words = set().union(*split)
-        known = self._known
-        if len(known) + len(words) > self._limit:
-            known.clear()
-        new = list(words.difference(known))
-        for word, code in zip(new, self._encode(new, add_special_tokens=False), strict=True):
-            known[word] = struct.pack(f"<{len(code)}I", *code.ids)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        self._tokenizer = Tokenizer.from_file(path)
+        self._limit = known_words
+        self._forget()
+
+    def _forget(self) -> None:
+        self._slot: dict[int, int] = {}
+        self._start, self._size = np.zeros(1, np.int64), np.zeros(1, np.int64)  # by slot
+        self._pool = np.zeros(0, np.uint32)
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text. Texts that may hold special tokens, which respect case, go whole."""
+        special = [i for i, t in enumerate(texts) if b"<|" in t]
+        plain = [b"" if b"<|" in t else t for t in texts] if special else texts
+        words = split_words(plain, NOT_BLANK, _border)
+        hashes, first_of, back = np.unique(words.hash, return_index=True, return_inverse=True)
+        slots = self._slots(words, hashes, first_of)
+        start, size = self._start[slots][back], self._size[slots][back]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        take = np.arange(ends[-1]) + np.repeat(start - ends[:-1], size)
+        ids, cuts = self._pool[take], ends[words.first]
+        out = [ids[cuts[i] : cuts[i + 1]].astype("<u4").tobytes() for i in range(len(texts))]
+        for i in special:
+            code = self._tokenizer.encode(texts[i].decode("utf-8", "replace"), add_special_tokens=False)
+            out[i] = np.asarray(code.ids, "<u4").tobytes()
+        return out
+
+    def _slots(self, words: Words, hashes: np.ndarray, first_of: np.ndarray) -> np.ndarray:
+        get = self._slot.get
+        slots = np.fromiter((get(h, -1) for h in hashes.tolist()), np.int64, len(hashes))
+        new = np.flatnonzero(slots < 0)
+        if len(new) and len(self._slot) + len(new) > self._limit and self._slot:
+            self._forget()
+            return self._slots(words, hashes, first_of)
+        if len(new):
+            at = first_of[new]
+            data = words.data.tobytes()
+            spans = zip(words.start[at].tolist(), words.end[at].tolist(), strict=True)
+            order, ids, sizes = self._encode([data[s:e].decode("utf-8", "replace") for s, e in spans])
+            new = new[order]
+            slots[new] = len(self._start) + np.arange(len(new))
+            self._slot.update(zip(hashes[new].tolist(), slots[new].tolist(), strict=True))
+            begins = len(self._pool) + np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            self._start, self._size = np.append(self._start, begins), np.append(self._size, sizes)
+            self._pool = np.append(self._pool, ids)
+        return slots
+
+    def _encode(self, new: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Order in which the words were encoded, all their ids, and how many each has.
+
+        Words of letters go together in one text, where each is one word for the
+        tokenizer too; if normalising splits one of them they go one by one.
+        """
+        letters = [i for i, w in enumerate(new) if w.isalpha() and (w.isascii() or w.lower().isalpha())]
+        ids, sizes = [], []
+        if letters:
+            joined = " ".join([new[i] for i in letters])
+            code = self._tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
+            number = np.asarray(code.word_ids)
+            cuts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1], [True]]))
+            if len(cuts) == len(letters) + 1:
+                ids, sizes = [np.asarray(code.ids, np.uint32)], [np.diff(cuts)]
+            else:
+                letters = []
+        done = set(letters)
+        rest = [i for i in range(len(new)) if i not in done]
+        codes = self._tokenizer.encode_batch_fast([new[i] for i in rest], add_special_tokens=False)
+        flat = [i for code in codes for i in code.ids]
+        ids.append(np.asarray(flat, np.uint32))
+        sizes.append(np.asarray([len(code) for code in codes], np.int64))
+        return letters + rest, np.concatenate(ids), np.concatenate(sizes)
+
+
+def _border(data: np.ndarray) -> np.ndarray:
+    """Places before which a word may be cut: between a letter or digit and a mark, in ASCII."""
+    mark, alnum = _MARKS[data], _ALNUM[data]
+    out = np.zeros(len(data), bool)
+    out[1:] = (mark[1:] & alnum[:-1]) | (alnum[1:] & mark[:-1])
+    return out
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
 def word_tokenizer(path: str) -> WordTokenizer:
-    """The tokenizer with its cache, kept between the tasks of a Python worker."""
+    """The tokenizer with the words it knows, kept between the tasks of a Python worker."""
     if path not in _tokenizers:
         _tokenizers[path] = WordTokenizer(path)
     return _tokenizers[path]
@@ -167,7 +232,7 @@ def pack(
         packer = HarmonicPacker(capacity, classes, TaskContext.get().partitionId() << 33)
         end = end_id.to_bytes(ID_BYTES, "little")
         for batch, texts in text_chunks(batches):
-            ids = tokenizer.ids([t.decode("utf-8", "replace") for t in texts])
+            ids = tokenizer.ids(texts)
             for doc_id, code in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
                 packer.add(doc_id, code + end)
             yield _rows(packer)

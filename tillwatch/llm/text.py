@@ -83,13 +83,19 @@ class Words:
         return b" ".join(self.data[self.start[i] : self.end[i]].tobytes() for i in range(at, at + k))
 
 
-def split_words(texts: list[bytes], word_bytes: np.ndarray) -> Words:
-    """Lower-case A-Z and cut into runs of `word_bytes`; hash every run."""
+def split_words(texts: list[bytes], word_bytes: np.ndarray, borders=None) -> Words:
+    """Lower-case A-Z and cut into runs of `word_bytes`; hash every run.
+
+    `borders` maps the bytes to further places before which runs are cut.
+    """
     data = LOWER[np.frombuffer(b" ".join(texts), np.uint8)] if texts else np.zeros(0, np.uint8)
     inside = np.zeros(len(data) + 2, bool)
     inside[1:-1] = word_bytes[data]
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[0::2], edge[1::2]
+    if borders is not None:
+        cuts = np.flatnonzero(borders(data))
+        start, end = np.sort(np.concatenate([start, cuts])), np.sort(np.concatenate([end, cuts]))
     begins = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=begins[1:])
     first = np.searchsorted(start, begins)

@@ -33,7 +33,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, tokenizer: str) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_tokenizer(tokenizer_path)
         for batch, texts in text_chunks(batches):
-            counts = [len(ids) // ID_BYTES for ids in encode.ids([t.decode("utf-8", "replace") for t in texts])]
+            counts = [len(ids) // ID_BYTES for ids in encode.ids(texts)]
             columns = [*(batch.column(c) for c in ("doc_id", "source", "lang")), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "lang", "n_tokens"])
 
