@@ -13,12 +13,10 @@ between members of different components is lost, however full a bucket is.
 from __future__ import annotations
 
 import hashlib
-import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -44,12 +42,7 @@ class HyperMinHash:
     bands: int = 32
     rows: int = 5
     sigmas: float = 4.0
-    block: int = 2048  # nodes of a bucket that are compared with each other in one task
-
-    @property
-    def least_estimate(self) -> float:
-        t = self.percent / 100
-        return t - self.sigmas * math.sqrt(t * (1 - t) / self.registers)
+    block: int = 1024  # nodes of a bucket that are compared with each other in one task
 
 
 EMPTY = np.uint16(0xFFFF)
@@ -109,30 +102,29 @@ def band_keys(registers: np.ndarray, shape: HyperMinHash) -> np.ndarray:
     return key.view(np.int64)
 
 
-def estimate(a: np.ndarray, b: np.ndarray, size_a, size_b, shape: HyperMinHash) -> np.ndarray:
+def estimate(a: np.ndarray, b: np.ndarray, chance) -> np.ndarray:
     """Similarity of sketches row by row, less the share of registers that agree by chance."""
-    both = (a != EMPTY) & (b != EMPTY)
-    some = (a != EMPTY) | (b != EMPTY)
-    same = ((a == b) & both).sum(-1)
-    chance = _chance(np.asarray(size_a), np.asarray(size_b), shape)
-    share = same / np.maximum(1, some.sum(-1))
-    return np.where(some.any(-1), (share - chance) / (1 - chance), 0.0)
-
-
-def _chance(size_a: np.ndarray, size_b: np.ndarray, shape: HyperMinHash) -> np.ndarray:
-    """Probability that registers of unrelated sets agree.
-
-    With u and v values in a bucket, both minima lie in the cell of leading zeros z
-    and one mantissa with probability mass_u * mass_v; the mantissa splits a cell
-    about evenly.
+    same = np.count_nonzero(a == b, axis=-1)
+    empty_a, empty_b = a == EMPTY, b == EMPTY
+    filled = a.shape[-1] if a.ndim > b.ndim else b.shape[-1]
+    if empty_a.any() and empty_b.any():
+        neither = np.count_nonzero(empty_a & empty_b, axis=-1)
+        same, filled = same - neither, filled - neither
+    share = same / np.maximum(1, filled)
+    return (share - chance) / (1 - chance)
+
+
+def chance_of(size: np.ndarray, shape: HyperMinHash) -> np.ndarray:
+    """Probability that registers of unrelated sets of about this size agree.
+
+    With u values in a bucket the smallest lies in the cell of leading zeros z with
+    probability mass(z), and in one of the cell's mantissas about evenly. Sizes of
+    linked sets differ by a fifth at most, which changes little.
     """
-    u = np.maximum(1.0, size_a / shape.registers)[..., None]
-    v = np.maximum(1.0, size_b / shape.registers)[..., None]
+    u = np.maximum(1.0, np.asarray(size) / shape.registers)[:, None]
     z = np.arange(40)
-    low, high = 2.0 ** -(z + 1.0), 2.0 ** -z.astype(float)
-    mass_u = (1 - low) ** u - (1 - high) ** u
-    mass_v = (1 - low) ** v - (1 - high) ** v
-    return (mass_u * mass_v).sum(-1) / 2**shape.mantissa
+    mass = (1 - 2.0 ** -(z + 1.0)) ** u - (1 - 2.0**-z.astype(float)) ** u
+    return (mass**2).sum(1) / 2**shape.mantissa
 
 
 SKETCH = "row_id long, doc_id long, text_hash long, n_shingles long, set_hash binary, registers binary"
@@ -222,28 +214,47 @@ def _components(docs: DataFrame, nodes: DataFrame, shape: HyperMinHash) -> DataF
     buckets = written(_buckets(nodes, shape), "buckets")
     light = nodes.select("node", "n_shingles", "registers")
     pairs = written(_near(_star_pairs(buckets), light, shape), "pairs")
-    ids = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    ids = _ends(pairs)
     texts = written(_texts(docs, nodes.join(ids, "node", "left_semi")), "texts")
 
     # First one pair per node, the likeliest; most others then lie within a component.
     likeliest = pairs.groupBy("b").agg(F.max(F.struct("similar", "a")).alias("best"))
     links = written(_verified(likeliest.select(F.col("best.a").alias("a"), "b"), texts, shape), "links")
     roots = connected_components(links)
-    more = written(_verified(_across(pairs, roots), texts, shape), "links")
-    links = links.union(more)
+    links = links.union(written(_verified(_across(pairs, roots), texts, shape), "links"))
     roots = connected_components(links)
 
     # What no centre has settled: buckets with several components, compared in blocks.
-    open_pairs = written(_block_pairs(buckets, roots, light, pairs, shape), "open-pairs")
-    if open_pairs.isEmpty():
+    # First every node in its fullest bucket, and of the near pairs there only a spanning forest.
+    blocks = _blocks(buckets, roots, light, shape, fullest=True)
+    forest = written(_by_group(blocks, _forest_of(shape), shape, PAIR).distinct(), "forest")
+    if not forest.isEmpty():
+        texts = _more_texts(docs, nodes, texts, _ends(forest))
+        found = written(_verified(forest, texts, shape), "links")
+        links = links.union(found)
+        roots = connected_components(links)
+    # Then all that are left: near pairs are compared in full where they meet, and only links come out.
+    blocks = _blocks(buckets, roots, light, shape, fullest=False)
+    near = written(_by_group(blocks, _near_of(shape), shape, NEAR), "near-blocks")
+    if near.isEmpty():
         return roots
-    ids = open_pairs.select(F.col("a").alias("node")).union(open_pairs.select(F.col("b").alias("node"))).distinct()
-    missing = ids.join(texts.select("node"), "node", "left_anti")
-    texts = texts.union(written(_texts(docs, nodes.join(missing, "node", "left_semi")), "texts"))
-    last = written(_verified(open_pairs, texts, shape), "links")
+    texts = _more_texts(docs, nodes, texts, near.select("node").distinct())
+    whole = near.join(light, "node").join(texts, "node")
+    last = written(_by_group(whole, _links_of(shape), shape, PAIR).distinct(), "links")
     return roots if last.isEmpty() else connected_components(links.union(last))
 
 
+def _more_texts(docs: DataFrame, nodes: DataFrame, texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    missing = written(wanted.join(texts.select("node"), "node", "left_anti"), "missing")
+    if missing.isEmpty():
+        return texts
+    return texts.union(written(_texts(docs, nodes.join(missing, "node", "left_semi")), "texts"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+
 def _buckets(nodes: DataFrame, shape: HyperMinHash) -> DataFrame:
     """(key, node, centre) of nodes whose band key occurs more than once."""
 
@@ -280,7 +291,7 @@ def _near(pairs: DataFrame, light: DataFrame, shape: HyperMinHash) -> DataFrame:
             if not len(a):
                 continue
             left, right = (_registers(batch.column(n).to_pylist(), shape) for n in ("registers_a", "registers_b"))
-            similar = estimate(left, right, size_a, size_b, shape)
+            similar = estimate(left, right, chance_of(size_a, shape))
             near = _possible(similar, size_a, size_b, shape)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a[near]), pa.array(b[near]), pa.array(similar[near])], ["a", "b", "similar"]
@@ -292,13 +303,15 @@ def _near(pairs: DataFrame, light: DataFrame, shape: HyperMinHash) -> DataFrame:
 
 
 def _possible(similar, size_a, size_b, shape: HyperMinHash) -> np.ndarray:
-    """Sketches of small sets have few filled registers and a wider error: only sizes count there."""
     sizes_fit = 100 * np.minimum(size_a, size_b) >= shape.percent * np.maximum(size_a, size_b)
-    small = np.minimum(size_a, size_b) < 2 * shape.registers
+    return sizes_fit & (similar >= np.minimum(_least(size_a, shape), _least(size_b, shape)))
+
+
+def _least(size: np.ndarray, shape: HyperMinHash) -> np.ndarray:
+    """Least estimate that still calls for a comparison. Small sets fill few registers: a wider error."""
     t = shape.percent / 100
-    filled = np.maximum(1, shape.registers * (1 - np.exp(-np.maximum(size_a, size_b) / shape.registers)))
-    least = np.where(small, t - shape.sigmas * np.sqrt(t * (1 - t) / filled), shape.least_estimate)
-    return sizes_fit & (similar >= least)
+    filled = np.maximum(1, shape.registers * (1 - np.exp(-np.asarray(size) / shape.registers)))
+    return t - shape.sigmas * np.sqrt(t * (1 - t) / filled)
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -342,16 +355,15 @@ def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return with_roots.filter(differ).select("a", "b")
 
 
-BLOCKED = "a long, b long"
+PAIR = "a long, b long"
+NEAR = "key long, x int, y int, node long, root long, block int"
 
 
-def _block_pairs(
-    buckets: DataFrame, roots: DataFrame, light: DataFrame, tried: DataFrame, shape: HyperMinHash
-) -> DataFrame:
-    """Untried pairs within a bucket, in different components and possibly similar enough.
+def _blocks(buckets: DataFrame, roots: DataFrame, light: DataFrame, shape: HyperMinHash, fullest: bool) -> DataFrame:
+    """Nodes of the buckets that hold several components, dealt to pairs of blocks (key, x, y).
 
     A bucket of n nodes is cut into blocks; each pair of blocks is one group of
-    bounded size, wherever it runs. Only buckets with several components take part.
+    bounded size. With `fullest` a node only takes part in its fullest bucket.
     """
     rooted = buckets.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     # A centre has met all others: a bucket of two is settled.
@@ -359,30 +371,183 @@ def _block_pairs(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members")
     )
     several = several.filter("low <> high and members > 2")
-    blocks = several.select("key", F.ceil(F.col("members") / shape.block).cast("int").alias("blocks"))
-    dealt = rooted.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = rooted.join(several.select("key", "members"), "key")
+    if fullest:
+        best = dealt.groupBy("node").agg(
+            F.max(F.struct("members", "key")).alias("best"), F.first("root").alias("root")
+        )
+        dealt = best.select("best.key", "node", "root", "best.members")
+    n_blocks = F.ceil(F.col("members") / shape.block).cast("int")
+    dealt = dealt.withColumn("n_blocks", n_blocks)
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), "n_blocks").cast("int"))
+    meets = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")
     copies = dealt.select("key", "node", "root", "block", meets)
     copies = copies.select(
         "key", "node", "root", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
     )
-    full = copies.join(light, "node")
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        registers = _registers(group["registers"].tolist(), shape)
-        node, root, size, block = (group[c].to_numpy() for c in ("node", "root", "n_shingles", "block"))
-        x, y = int(group["x"].iloc[0]), int(group["y"].iloc[0])
-        out = []
-        for i in np.flatnonzero(block == x):
-            apart = (root != root[i]) & ((block == y) if x != y else (node > node[i]))
-            js = np.flatnonzero(apart)
-            if len(js):
-                similar = estimate(registers[i][None, :], registers[js], size[i], size[js], shape)
-                js = js[_possible(similar, size[i], size[js], shape)]
-                out.append(np.stack([np.minimum(node[i], node[js]), np.maximum(node[i], node[js])], 1))
-        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
-
-    found = full.groupBy("key", "x", "y").applyInPandas(compare, BLOCKED).distinct()
-    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return found.join(known, ["a", "b"], "left_anti")
+    return copies.join(light, "node")
+
+
+Group = dict[str, np.ndarray]
+
+
+def _by_group(blocks: DataFrame, compare: Callable, shape: HyperMinHash, schema: str) -> DataFrame:
+    """`compare` for each group (key, x, y), sorted by block and node; most groups are tiny, so many in one go."""
+    place = ["key", "x", "y"]
+    dealt = blocks.repartition(*place).sortWithinPartitions(*place, "block", "node")
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def columns_of(table: pa.Table) -> Group:
+        out = {c: table.column(c).to_numpy() for c in table.column_names if c not in ("registers", "text")}
+        out["registers"] = _registers(table.column("registers").to_pylist(), shape)
+        if "text" in table.column_names:
+            out["text"] = np.asarray(table.column("text").to_pylist(), object)
+        return out
+
+    def results(data: Group, cuts: list[int]) -> pa.RecordBatch:
+        found = [
+            compare({c: v[s:e] for c, v in data.items()})
+            for s, e in zip(cuts, cuts[1:], strict=False)
+            if (data["root"][s:e] != data["root"][s]).any()
+        ]
+        columns = [np.concatenate([np.zeros(0, np.int64), *(f[n] for f in found)]) for n in names]
+        kinds = [pa.int32() if " int" in part else pa.int64() for part in schema.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            ends = [batch.column(c)[-1].as_py() for c in place]
+            if ends == [held[0].column(c)[0].as_py() for c in place]:
+                continue  # still one group
+            table = pa.Table.from_batches(held)
+            *whole, last = _cuts(data := columns_of(table))
+            yield results(data, [*whole, last])
+            held = table.slice(last).combine_chunks().to_batches()
+        if held:
+            data = columns_of(pa.Table.from_batches(held))
+            yield results(data, [*_cuts(data), len(data["key"])])
+
+    return dealt.mapInArrow(run, schema)
+
+
+def _cuts(data: Group) -> list[int]:
+    """Where the groups begin."""
+    change = np.zeros(len(data["key"]), bool)
+    change[0] = True
+    for c in ("key", "x", "y"):
+        change[1:] |= data[c][1:] != data[c][:-1]
+    return np.flatnonzero(change).tolist()
+
+
+def _near_pairs(group: Group, shape: HyperMinHash) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs in a group that may be similar enough and are in different components; estimates.
+
+    Each pair comes once: with the later nodes of the same block, or all of the other one.
+    """
+    registers, root, size, block = (group[c] for c in ("registers", "root", "n_shingles", "block"))
+    n_x = int((block == group["x"][0]).sum())
+    same_block = group["x"][0] == group["y"][0]
+    chance = chance_of(size, shape)
+    least = _least(size, shape)
+    empty = np.packbits(registers == EMPTY, axis=1).view(np.uint64)
+    some_empty = bool(empty.any())
+    pairs, estimates = [np.zeros((0, 2), np.int64)], [np.zeros(0)]
+    for i in range(n_x):
+        low = i + 1 if same_block else n_x
+        equal = (registers[low:] == registers[i]).view(np.uint64)
+        same = np.bitwise_count(equal).sum(1, dtype=np.int64)
+        filled = shape.registers
+        if some_empty:
+            neither = np.bitwise_count(empty[low:] & empty[i]).sum(1, dtype=np.int64)
+            same, filled = same - neither, np.maximum(1, shape.registers - neither)
+        similar = (same / filled - chance[i]) / (1 - chance[i])
+        js = np.flatnonzero(similar >= np.minimum(least[low:], least[i]))
+        if not len(js):
+            continue
+        at = js + low
+        fits = 100 * np.minimum(size[i], size[at]) >= shape.percent * np.maximum(size[i], size[at])
+        fits &= root[at] != root[i]
+        if fits.any():
+            pairs.append(np.stack([np.full(fits.sum(), i), at[fits]], 1))
+            estimates.append(similar[js[fits]])
+    return np.concatenate(pairs), np.concatenate(estimates)
+
+
+def _as_pairs(node: np.ndarray, pairs: np.ndarray) -> Group:
+    a, b = node[pairs[:, 0]], node[pairs[:, 1]]
+    return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
+
+
+def _forest_of(shape: HyperMinHash) -> Callable[[Group], Group]:
+    """Near pairs of a group, likeliest first, as long as they join components that are still apart.
+
+    A text with many variants then meets each of them once, before variants meet
+    each other.
+    """
+
+    def compare(group: Group) -> Group:
+        pairs, similar = _near_pairs(group, shape)
+        return _as_pairs(group["node"], pairs[_spanning(pairs, similar, group["root"])])
+
+    return compare
+
+
+def _near_of(shape: HyperMinHash) -> Callable[[Group], Group]:
+    """The nodes of a group that have a near pair in it."""
+
+    def compare(group: Group) -> Group:
+        chosen = np.unique(_near_pairs(group, shape)[0])
+        return {c: group[c][chosen] for c in ("key", "x", "y", "node", "root", "block")}
+
+    return compare
+
+
+def _links_of(shape: HyperMinHash) -> Callable[[Group], Group]:
+    """Near pairs of a group whose full sets are similar enough; one link joins two components for good."""
+
+    def compare(group: Group) -> Group:
+        pairs, similar = _near_pairs(group, shape)
+        texts = [t.encode() for t in group["text"]]
+        doc, value = shingle_sets(split_words(texts, NOT_BLANK), shape.shingle)
+        kinds, place = np.unique(value, return_inverse=True)
+        sets = np.split(place, np.searchsorted(doc, np.arange(1, len(texts))))
+        marked = np.zeros(len(kinds), bool)
+        last = -1
+
+        def linked(i: int, j: int) -> bool:
+            nonlocal last
+            if i != last:
+                marked[:] = False
+                marked[sets[i]] = True
+                last = i
+            common = np.count_nonzero(marked[sets[j]])
+            return common > 0 and 100 * common >= shape.percent * (len(sets[i]) + len(sets[j]) - common)
+
+        return _as_pairs(group["node"], pairs[_spanning(pairs, similar, group["root"], linked)])
+
+    return compare
+
+
+def _spanning(pairs: np.ndarray, similar: np.ndarray, root: np.ndarray, linked=None) -> list[int]:
+    """Pairs that join components which earlier ones left apart: likeliest first, or those that are `linked`."""
+    parent = {r: r for r in root.tolist()}
+
+    def top(r: int) -> int:
+        while parent[r] != r:
+            parent[r] = parent[parent[r]]
+            r = parent[r]
+        return r
+
+    kept = []
+    order = range(len(pairs)) if linked else np.argsort(-similar, kind="stable").tolist()
+    for k in order:
+        i, j = pairs[k].tolist()
+        a, b = top(int(root[i])), top(int(root[j]))
+        if a != b and (linked is None or linked(i, j)):
+            parent[a] = b
+            kept.append(k)
+    return kept
