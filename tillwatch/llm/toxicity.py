@@ -90,21 +90,22 @@ def fit_chain(docs: DataFrame, labels: DataFrame, params: ChainParams = ChainPar
     known = labels.select("doc_id", *[F.col(c).cast("double") for c in params.categories]).dropna()
     known = known.join(docs.select(F.col("doc_id").alias("doc_id")), "doc_id", "left_semi")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", *params.categories).limit(params.sample)
-    text = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    body = F.col("text").cast("string")
+    text = docs.select("doc_id", body.alias("text"), F.xxhash64(body).alias("copy"))
     # At most `sample` rows with few columns: small enough to send everywhere.
-    joined = text.join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id")
+    joined = text.join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id").dropDuplicates(["copy"])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
             doc, word = text_features(texts)
             parts = np.split(word.astype(np.int32), np.searchsorted(doc, np.arange(1, len(texts))))
             blobs = pa.array([p.tobytes() for p in parts], pa.binary())
-            columns = [blobs, *(batch.column(c) for c in params.categories)]
-            yield pa.RecordBatch.from_arrays(columns, ["words", *params.categories])
+            columns = [batch.column("copy"), blobs, *(batch.column(c) for c in params.categories)]
+            yield pa.RecordBatch.from_arrays(columns, ["copy", "words", *params.categories])
 
     kinds = ", ".join(f"`{c}` double" for c in params.categories)
-    rows = joined.mapInArrow(features, f"words binary, {kinds}").dropDuplicates(["words"]).collect()
-    rows.sort(key=lambda r: bytes(r.words))
+    rows = joined.mapInArrow(features, f"copy long, words binary, {kinds}").collect()
+    rows.sort(key=lambda r: r.copy)
     words = [np.frombuffer(r.words, np.int32) for r in rows]
     target = np.asarray([[float(r[c] > 0) for c in params.categories] for r in rows])
     return _fitted(words, target.reshape(len(rows), len(params.categories)), params)
