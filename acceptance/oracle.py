@@ -132,6 +132,7 @@ ORACLE["scan_csv"] = _with("txn", "select * exclude (transaction_date) from txn"
 ORACLE["scan_table"] = "select * from orders"
 ORACLE["sink_overwrite"] = _with("cust_orphan", "select * from cust_orphan")
 ORACLE["sink_partitioned"] = _with("txn", "select * from txn")
+ORACLE["sink_partitioned_rebalance"] = _with("txn", "select * from txn")
 ORACLE["sink_merge_schema"] = _with(
     "cust", "select * replace (cast(null as varchar) as state), status = 'ACTIVE' as is_active from cust"
 )
@@ -567,6 +568,7 @@ ORACLE["top_monthly_spenders"] = _with(
 # ---- incremental, audit, streams ---------------------------------------------------------
 
 ORACLE["incremental_load"] = _with("txn", "select * from txn")
+ORACLE["incremental_load_late"] = _with("txn", "select * from txn")
 ORACLE["incremental_load_stream"] = _with("txn", "select * from txn")
 
 # Step -> (rows in, rows out, rejected), each a table or a count, of a run over the damaged files.

@@ -554,6 +554,25 @@ def incremental_load(spark, sf):
     return read_table(spark, path)
 
 
+@query
+def incremental_load_late(spark, sf):
+    """Deliveries out of order: the last days first, then the whole, then the first days again."""
+    path = scratch_folder(spark, "late") + "/transactions"
+    txn = view(spark, sf, "txn")
+    late, early = F.col("transaction_date") > F.lit(LOAD_DAYS[1]), F.col("transaction_date") <= F.lit(LOAD_DAYS[0])
+    for part in (txn.filter(late), txn.unionByName(txn.filter(early)), txn.filter(early)):
+        incremental.incremental_load(part, path, partition_by=())
+    return read_table(spark, path)
+
+
+@query
+def sink_partitioned_rebalance(spark, sf):
+    """The default way to write date folders: one task per folder, large ones cut by size."""
+    path = scratch_folder(spark, "rebalanced")
+    write_table(view(spark, sf, "txn"), path, partition_by=["transaction_date"])
+    return read_table(spark, path)
+
+
 @query
 def incremental_load_stream(spark, sf):
     """The same table loaded by a file stream that is started twice; the second run finds nothing new."""

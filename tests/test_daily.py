@@ -6,6 +6,8 @@ import pytest
 
 import run_daily
 
+from pyspark.sql import functions as F
+
 from tillwatch.plans.daily import WAREHOUSE_TABLES, DailyRun
 from tillwatch.plans.incremental import fresh_rows, incremental_load
 from tillwatch.plans.page import page_datasets, warehouse_tables
@@ -154,14 +156,35 @@ def test_incremental_load_takes_only_fresh_rows(spark, tmp_path, txns):
         assert _ids(read_table(spark, path)) == ["t00000", "t00001", "t00002", "t00003"]
 
 
-def test_lateness_reaches_back(spark, tmp_path, txns):
+def test_late_rows_are_loaded(spark, tmp_path, txns):
     path = str(tmp_path / "t")
     df = txns([("a", f"2025-03-0{d} 10:00:00", d) for d in (1, 2, 3, 4)])
     incremental_load(df.filter("transaction_id in ('t00000', 't00003')"), path)
-    target = read_table(spark, path)
-    assert _ids(fresh_rows(df, target)) == []
-    assert _ids(fresh_rows(df, target, lateness_days=1)) == ["t00002"]
-    assert _ids(fresh_rows(df, target, lateness_days=5)) == ["t00001", "t00002"]
+    assert _ids(fresh_rows(df, read_table(spark, path))) == ["t00001", "t00002"]
+
+
+def test_rows_without_key_or_time_are_loaded_once(spark, tmp_path, txns):
+    path = str(tmp_path / "t")
+    df = txns([("a", f"2025-03-0{d} 10:00:00", d) for d in (1, 2, 3, 4)])
+    null = F.lit(None)
+    no_key = df.filter("transaction_id in ('t00000', 't00001')").withColumn("transaction_id", null.cast("string"))
+    no_time = df.filter("transaction_id = 't00002'").withColumn("transaction_timestamp", null.cast("timestamp"))
+    no_time = no_time.withColumn("transaction_date", null.cast("date"))
+    odd = no_key.union(no_time).union(no_time)
+    for _ in range(3):
+        incremental_load(odd, path)
+        assert read_table(spark, path).count() == 3
+    for _ in range(2):
+        incremental_load(df.union(df), path)
+        assert read_table(spark, path).count() == 7
+
+
+def test_a_table_of_null_days_is_not_doubled(spark, tmp_path, txns):
+    path = str(tmp_path / "t")
+    df = txns([("a", "2025-03-01 10:00:00", 1)]).withColumn("transaction_date", F.lit(None).cast("date"))
+    for _ in range(2):
+        incremental_load(df, path)
+        assert read_table(spark, path).count() == 1
 
 
 def test_only_overlapping_days_of_the_target_are_read(spark, tmp_path, txns):

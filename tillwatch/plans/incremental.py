@@ -4,53 +4,56 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwatch.operators import routing
 from tillwatch.sources.tables import read_table, stored_schema, write_table
 
 
+def _identity(df: DataFrame, key: str) -> Column:
+    """What tells rows apart: the key, or all columns where it is null."""
+    columns = [F.col(f"`{c}`").cast("string") for c in sorted(df.columns)]
+    whole = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    return F.when(F.col(key).isNull(), whole)
+
+
 def fresh_rows(
-    source: DataFrame,
-    target: DataFrame,
-    key: str = "transaction_id",
-    ts: str = "transaction_timestamp",
-    day: str = "transaction_date",
-    lateness_days: int = 0,
+    source: DataFrame, target: DataFrame, key: str = "transaction_id", day: str = "transaction_date"
 ) -> DataFrame:
-    """Rows of `source` at or after the newest timestamp in `target` whose key is not there yet.
+    """Rows of `source` that `target` does not hold on any of the days that occur in `source`.
 
-    `lateness_days` moves the limit back for sources that deliver late. Two single
-    values reach the driver: the newest day, found from the partition column, and
-    the newest timestamp within it. As literals they prune both sides, so only the
-    overlapping days of the target are read for the key comparison.
+    Late rows and rows without a day or time count like others. Of several rows
+    with one key the first in column order is taken; rows without a key are told
+    apart by all their columns. Three single values reach the driver: first and
+    last day and whether there are rows without one. As literals they prune the
+    target, so only its overlapping days are read.
     """
-    last_day = target.agg(F.max(day)).first()[0]
-    if last_day is None:
-        return source
-    newest = target.filter(F.col(day) == F.lit(last_day))
-    last_ts = newest.agg(F.max(ts).cast("string")).first()[0]
-    limit = F.lit(last_ts).cast(source.schema[ts].dataType)
-    if lateness_days:
-        limit = limit - F.expr(f"make_dt_interval({lateness_days})")
-    in_reach = (F.col(day) >= F.date_sub(F.lit(last_day), lateness_days)) & (F.col(ts) >= limit)
-    loaded = target.filter(in_reach).select(key)
-    return source.filter(in_reach).join(loaded, key, "left_anti").select(*source.columns)
+    named = source.withColumn("_identity", _identity(source, key))
+    first, last, none = source.agg(
+        F.min(day), F.max(day), F.coalesce(F.max(F.col(day).isNull()), F.lit(False))
+    ).first()
+    in_reach = F.col(day).between(F.lit(first), F.lit(last))
+    if none:
+        in_reach = in_reach | F.col(day).isNull()
+    near = target.filter(in_reach)
+    loaded = near.select(F.col(key).alias("_loaded"), _identity(near, key).alias("_loaded_identity"))
+    same = F.col(key).eqNullSafe(F.col("_loaded")) & F.col("_identity").eqNullSafe(F.col("_loaded_identity"))
+    once = routing.dedup(named, [key, "_identity"])
+    return once.join(loaded, same, "left_anti").select(*source.columns)
 
 
 def incremental_load(
     source: DataFrame,
     path: str,
     key: str = "transaction_id",
-    ts: str = "transaction_timestamp",
     day: str = "transaction_date",
-    lateness_days: int = 0,
     partition_by: Sequence[str] = ("transaction_date",),
 ) -> None:
     """Append the fresh rows to the table at `path`; repeatable, as rows already there stay out."""
     spark = source.sparkSession
     if stored_schema(spark, path) is None:
-        write_table(source, path, partition_by=partition_by)
+        named = source.withColumn("_identity", _identity(source, key))
+        write_table(routing.dedup(named, [key, "_identity"]).drop("_identity"), path, partition_by=partition_by)
         return
-    fresh = fresh_rows(source, read_table(spark, path), key, ts, day, lateness_days)
-    write_table(fresh, path, mode="append", partition_by=partition_by)
+    write_table(fresh_rows(source, read_table(spark, path), key, day), path, mode="append", partition_by=partition_by)

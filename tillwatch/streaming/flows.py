@@ -83,19 +83,13 @@ def stream_daily_spend(
     return with_constants(spent, fraud_type=DAILY_SPEND, fraud_detected_at=detected_at)
 
 
-def stream_dedup(df: DataFrame, key: str, delay: str = "10 minutes", spread: int = 8) -> DataFrame:
+def stream_dedup(df: DataFrame, key: str, delay: str = "10 minutes") -> DataFrame:
     """First row per key among rows that arrive within `delay` of each other.
 
-    Copies are first dropped within `spread` lanes, so a key with very many
-    copies does not send them all to one task; the second step sees at most
-    `spread` rows of a key. `spread=0` saves the extra state where no key is hot.
+    State holds one entry per key, however many copies come, so a hot key costs
+    look-ups but no memory; `max_files` of the source bounds those of a micro-batch.
     """
-    timed = with_event_time(df, delay)
-    if spread:
-        lane = F.pmod(F.spark_partition_id(), F.lit(spread))
-        laned = timed.withColumn("_lane", lane)
-        timed = laned.dropDuplicatesWithinWatermark([key, "_lane"]).drop("_lane")
-    return timed.dropDuplicatesWithinWatermark([key])
+    return with_event_time(df, delay).dropDuplicatesWithinWatermark([key])
 
 
 def start(
