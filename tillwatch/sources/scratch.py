@@ -14,7 +14,7 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     A machine-local folder serves only where the setting is missing and Spark
     itself runs on one machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
