@@ -134,14 +134,15 @@ def op4_token_rollup(spark, sf):
     def changes(op: str, of: DataFrame) -> DataFrame:
         return token_ledger.count_tokens(of, vocabulary(), VERSION).withColumn("op", F.lit(op))
 
-    poor = docs.join(labels.filter("quality = 0").select("doc_id"), "doc_id", "left_semi")
-    cleaned = poor.withColumn("text", F.regexp_replace("text", "[%&$*#!]{3,}", ""))
+    cleaned = docs.withColumn("text", F.regexp_replace("text", "[%&$*#!]{3,}", ""))
+    poor = labels.filter("quality = 0").select("doc_id")
     toxic = labels.filter("toxic = 1").select(
         F.lit("delete").alias("op"), "doc_id", *[F.lit(None).cast("string").alias(c) for c in ("source", "lang")],
         F.lit(VERSION).alias("tokenizer"), F.lit(None).cast("long").alias("n_tokens"),
     )
     ledger.commit("load", changes("insert", docs))
-    ledger.commit("recount", changes("revise", cleaned))
+    # Counted before the join, so that counts are shuffled and not texts.
+    ledger.commit("recount", changes("revise", cleaned).join(poor, "doc_id", "left_semi"))
     ledger.commit("takedown", toxic)
     ledger.commit("load", changes("insert", docs))
     return ledger.totals()
