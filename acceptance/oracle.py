@@ -356,8 +356,8 @@ def _raw(view: str, entity: str, casts: dict[str, str]) -> str:
     replaced = ", ".join(f"{sql} as {name}" for name, sql in casts.items())
     return _with(
         view,
-        f"""select * replace ({replaced}), '{STAMP}' as bronze_load_timestamp, 'raw/{entity}' as source_file
-        from {view}""",
+        f"""select * replace ({replaced}), '{STAMP}' as bronze_load_timestamp, 'raw/{entity}' as source_file,
+        cast(null as varchar) as malformed_row from {view}""",
     )
 
 
@@ -631,6 +631,37 @@ def _count(rows: str | None) -> str:
     return f"(select count(*) from {rows})" if rows else "cast(0 as bigint)"
 
 
+_NOW = ORACLE["dq_transaction"].replace("timestamp '2000-01-01'", "localtimestamp")
+ORACLE["daily_quality_log"] = " union all ".join(
+    f"""select '{entity}' as entity, metric, value, '{STAMP}' as run_timestamp from ({reports}) {entity}_report
+        union all select '{entity}', 'malformed_rows', 0, '{STAMP}'"""
+    for entity, reports in {
+        "customer": ORACLE["dq_customer"],
+        "branch": ORACLE["dq_branch"],
+        "transactions": _NOW,
+    }.items()
+)
+ORACLE["daily_verification"] = _with(
+    "txn_dirty cust_dirty branch_dirty",
+    " union all ".join(
+        f"""select '{table}' as table_name, {_count(rows)} as source_rows, {_count(rows)} as target_rows,
+            true as matches, '{STAMP}' as run_timestamp"""
+        for table, rows in _GOLD_STEPS.values()
+    ),
+    CHECKED,
+    SILVER_TXN,
+    SILVER_CUST,
+    SILVER_BRANCH,
+    SILVER_LINKED,
+)
+ORACLE["rejected_malformed"] = _with(
+    "txn",
+    """select cast(transaction_id as varchar) as transaction_id, 'Malformed row' as rejection_reason,
+       concat_ws(',', transaction_id, account_number, cast(transaction_date as varchar), transaction_type,
+         cast(amount as varchar), 'Shop', channel) || case channel when 'ATM' then ',' || city || ',more' else '' end
+         as malformed_row
+       from txn where channel in ('ATM', 'CARD')""",
+)
 ORACLE["audit_log"] = _with(
     "txn_dirty cust_dirty branch_dirty",
     " union all ".join(

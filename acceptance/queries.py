@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from acceptance.views import base_table, over, view
 from tillwatch.functions.audit import with_constants
-from tillwatch.functions.typed import as_timestamp
+from tillwatch.functions.typed import as_timestamp, money
 from tillwatch.operators import fraud, projection, quality, reports, routing, summaries
 from tillwatch.plans.daily import WAREHOUSE_TABLES, DailyRun
 from tillwatch.plans import incremental, layers
-from tillwatch.schemas import CONTRACTS
+from tillwatch.schemas import CONTRACTS, RAW_COLUMNS
 from tillwatch.settings import ACCOUNT_TYPES, HIGH_VALUE, RuleParams
 from tillwatch.sources.scratch import scratch_folder
 from tillwatch.sources.tables import (
@@ -317,6 +317,22 @@ def rejected_txn_strict(spark, sf):
     return routing.split_transactions(view(spark, sf, "txn_dirty"), strict=True)[1]
 
 
+@query
+def rejected_malformed(spark, sf):
+    """Files in which lines of two channels have a field too many or too few."""
+    path = scratch_folder(spark, "ragged")
+    txn = view(spark, sf, "txn")
+    fields = ["transaction_id", "account_number", "transaction_date", "transaction_type", "amount"]
+    city = F.when(F.col("channel") == "ATM", F.concat(F.lit(","), "city", F.lit(",more")))
+    city = city.when(F.col("channel") == "CARD", "").otherwise(F.concat(F.lit(","), "city"))
+    start = F.concat_ws(",", *[F.col(c).cast("string") for c in fields], F.lit("Shop"), "channel")
+    # One column whose name is the header line; no value holds the separator.
+    lines = txn.select(F.concat(start, city).alias(",".join(RAW_COLUMNS["transactions"])))
+    lines.write.mode("overwrite").option("header", True).option("sep", "|").csv(path)
+    _, rejected = routing.split_transactions(layers.bronze(spark, path, "transactions"))
+    return rejected.select("transaction_id", "rejection_reason", "malformed_row")
+
+
 @query
 def dedup_key(spark, sf):
     return routing.dedup(view(spark, sf, "txn_dirty"), ["transaction_id"])
@@ -442,7 +458,7 @@ def fraud_dormant_gap(spark, sf):
 
 @query
 def fraud_summary(spark, sf):
-    return fraud.alert_summary(_alerts(spark, sf))
+    return fraud.with_total(_rule_totals(spark, sf))
 
 
 @query
@@ -450,12 +466,19 @@ def fraud_alerts_all(spark, sf):
     return fraud.alerts_union(_alerts(spark, sf))
 
 
+def _rule_totals(spark, sf):
+    return fraud.rule_totals(view(spark, sf, "txn"), RULES, view(spark, sf, "evt"))
+
+
 # ---- reporting datasets ------------------------------------------------------------------
 
 
 @query
 def cards_overview(spark, sf):
-    return reports.overview_cards(view(spark, sf, "cust"), _kpi(spark, sf), _alerts(spark, sf))
+    """No customer's columns are shown, so account totals stand in for the joined table."""
+    totals = summaries.account_totals(view(spark, sf, "txn"))
+    debits = totals.select(F.col("txn_count").alias("total_transactions"), money(F.col("debit_sum")).alias("total_debit"))
+    return reports.overview_from_totals(view(spark, sf, "cust"), debits, _rule_totals(spark, sf))
 
 
 @query
@@ -480,12 +503,12 @@ def debit_credit_by_account_type(spark, sf):
 
 @query
 def cards_fraud(spark, sf):
-    return reports.fraud_cards(_alerts(spark, sf))
+    return reports.cards_from_totals(_rule_totals(spark, sf))
 
 
 @query
 def fraud_counts_by_type(spark, sf):
-    return reports.fraud_counts_by_type(_alerts(spark, sf))
+    return reports.counts_from_totals(_rule_totals(spark, sf))
 
 
 @query
@@ -585,6 +608,22 @@ def incremental_load_stream(spark, sf):
 @query
 def audit_log(spark, sf):
     """The log of a whole daily run over the damaged files."""
+    return _daily(spark, sf).table("audit", "runs")
+
+
+@query
+def daily_quality_log(spark, sf):
+    """Quality reports that a daily run stores before it cleans."""
+    return _daily(spark, sf).table("audit", "quality")
+
+
+@query
+def daily_verification(spark, sf):
+    """Row counts of gold and warehouse that a daily run compares at its end."""
+    return _daily(spark, sf).table("audit", "verification")
+
+
+def _daily(spark, sf):
     root = scratch_folder(spark, "daily")
     raw = {"customer": "cust_dirty", "branch": "branch_dirty", "transactions": "txn_dirty"}
     for entity, name in raw.items():
@@ -592,7 +631,7 @@ def audit_log(spark, sf):
     # The tables hold a few rows per day, too few for one folder each.
     daily = DailyRun(spark, root, STAMP, RULES, partition_by=())
     daily.run(FolderWarehouse(root))
-    return daily.table("audit", "runs")
+    return daily
 
 
 def _stream(spark, sf, name):

@@ -24,6 +24,7 @@ STEPS = (
     "fraud",
     "summaries",
     "warehouse",
+    "verify",
 )
 
 
@@ -38,6 +39,8 @@ def run_step(run: DailyRun, step: str, target: Warehouse) -> None:
     elif step == "warehouse":
         for table, rows in run.load_warehouse(target).items():
             print(f"{table}: {rows} rows")
+    elif step == "verify":
+        run.verify_warehouse(target)
     else:
         getattr(run, f"build_{step}")()
 

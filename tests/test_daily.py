@@ -12,7 +12,7 @@ from tillwatch.plans.daily import WAREHOUSE_TABLES, DailyRun
 from tillwatch.plans.incremental import fresh_rows, incremental_load
 from tillwatch.plans.page import page_datasets, warehouse_tables
 from tillwatch.settings import RuleParams
-from tillwatch.sources.tables import read_table
+from tillwatch.sources.tables import read_table, write_table
 from tillwatch.sources.warehouse import FolderWarehouse
 
 CUSTOMERS = """customer_id,account_number,customer_name,account_type,branch_id,city,state,status
@@ -73,6 +73,31 @@ def test_whole_run(spark, root):
     assert (kpi.TOTAL_DEBIT, kpi.CUSTOMER_CITY, kpi.GOLD_LOAD_TIMESTAMP) == (1050010.0, "PUNE", run.stamp)
 
 
+def test_a_run_stores_quality_summary_and_verification(spark, root):
+    run = DailyRun(spark, root, "one")
+    run.run(FolderWarehouse(root))
+    counts = {(r.entity, r.metric): r.value for r in run.table("audit", "quality").collect()}
+    assert counts["transactions", "duplicate_transaction_id"] == 1
+    assert counts["transactions", "negative_amount"] == 1
+    assert counts["customer", "null_customer_id"] == 1
+    assert counts["branch", "malformed_rows"] == 0
+    alerts = {r.fraud_type: r.alerts for r in run.table("gold", "fraud_alerts/summary").collect()}
+    assert alerts["TOTAL"] == 6
+    assert len(alerts) == 5
+    checks = run.table("audit", "verification").collect()
+    assert len(checks) == len(WAREHOUSE_TABLES)
+    assert all(r.matches for r in checks)
+
+
+def test_a_warehouse_that_lost_rows_fails_the_run(spark, root):
+    target = FolderWarehouse(root)
+    run = DailyRun(spark, root, "one")
+    run.run(target)
+    write_table(run.table("gold", "customer_summary/overall_kpi").filter("false"), f"{root}/warehouse/CUSTOMER_KPI")
+    with pytest.raises(RuntimeError, match="CUSTOMER_KPI"):
+        run.verify_warehouse(target)
+
+
 def test_reports_read_the_warehouse(spark, root):
     target = FolderWarehouse(root)
     DailyRun(spark, root, "2026-01-01 00:00:00").run(target)

@@ -76,6 +76,44 @@ def test_sliding_burst_against_brute_force(txns, seed):
     assert expected
 
 
+def test_sliding_burst_at_bucket_edges(txns):
+    """Two adjacent buckets together just reach the limit, or pass it; accounts may be null."""
+    times = ("10:09:59", "10:10:00", "10:10:00", "10:19:59")
+    rows = [(account, f"2025-03-01 {t}", 1) for account in ("a", None) for t in times]
+    rows += [("b", f"2025-03-01 {t}", 1) for t in ("09:59:59", "10:10:00", "10:20:00", "10:30:00")]
+    found = fraud.sliding_burst(txns(rows))
+    assert {(r.account_number, str(r.window_end), r.txn_count) for r in found.collect()} == {
+        ("a", "2025-03-01 10:19:59", 4),
+        (None, "2025-03-01 10:19:59", 4),
+    }
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Window") < plan.index("LeftSemi")
+
+
+def test_totals_in_one_fold_equal_the_tables(txns):
+    rng = random.Random(5)
+    rows = []
+    for _ in range(800):
+        when = datetime(2025, 1, 1) + timedelta(minutes=rng.randrange(450_000))
+        kind = rng.choice(["DEBIT", "DEBIT", "CREDIT"])
+        rows.append((f"a{rng.randrange(60)}", str(when), rng.randrange(90_000, 101_000), kind))
+    rows += [("burst", f"2025-03-01 10:0{i}:00", 300_000) for i in range(5)]
+    df = txns(rows)
+    quiet = fraud.RuleParams(dormant_max_txns=14)
+    for rules in (quiet, fraud.DEFAULT_RULES):
+        tables = fraud.alert_totals(fraud.all_rules(df, rules))
+        expected = {tuple(r) for r in tables.collect()}
+        assert {tuple(r) for r in fraud.rule_totals(df, rules).select(*tables.columns).collect()} == expected
+        days = summaries.day_totals(df)
+        again = fraud.rules_with_days(df, days, rules)
+        for name, table in fraud.all_rules(df, rules).items():
+            same = again[name].select(*table.columns)
+            assert sorted(map(str, same.collect())) == sorted(map(str, table.collect())), name
+    assert all(r.alerts for r in fraud.rule_totals(df, quiet).collect())
+    nothing = {tuple(r)[1:] for r in fraud.rule_totals(df.filter("false")).collect()}
+    assert nothing == {(0, None)}
+
+
 def test_daily_spend_edge(txns):
     day = "2025-03-01 10:00:00"
     rows = [("a", day, 500000), ("a", day, 500000), ("b", day, 500000), ("b", day, 500000.01)]

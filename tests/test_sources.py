@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import DataFrameReader, DataFrameWriter
 from pyspark.sql import functions as F
 
-from tillwatch.operators import projection
+from tillwatch.operators import projection, quality, routing
 from tillwatch.plans import layers
 from tillwatch.schemas import CONTRACTS, RAW_COLUMNS, raw_schema
 from tillwatch.sources import tables
@@ -54,6 +54,34 @@ def test_skipped_empty_frame_keeps_the_earlier_rows(spark, tmp_path):
     tables.write_table(spark.range(5), path, skip_empty=True)
     assert not tables.write_table(spark.range(0), path, skip_empty=True)
     assert tables.read_table(spark, path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_skipping_computes_the_source_once(spark, tmp_path):
+    touches = spark.sparkContext.accumulator(0)
+
+    def touched(batches):
+        for batch in batches:
+            touches.add(batch.num_rows)
+            yield batch
+
+    counted = spark.range(1000).mapInArrow(touched, "id long").groupBy("id").count().filter("count = 1")
+    assert tables.write_table(counted, str(tmp_path / "t"), skip_empty=True)
+    assert touches.value == 1000
+
+
+def test_malformed_lines_are_kept_and_rejected(spark, tmp_path):
+    lines = ["branch_id,branch_name,city,state,region", "1,Main,Pune,MH,North", "2,Shop, Inc,Goa,GA,South", "3,Old,Goa"]
+    (tmp_path / "a.csv").write_text("\n".join(lines))
+    raw = layers.bronze(spark, str(tmp_path), "branch")
+    assert raw.select("branch_id").count() == 3
+    clean, rejected = routing.split_branches(raw)
+    assert [r.branch_id for r in clean.collect()] == ["1"]
+    assert "malformed_row" not in clean.columns
+    found = {r.malformed_row: r.rejection_reason for r in rejected.collect()}
+    assert found == {lines[2]: "Malformed row", lines[3]: "Malformed row"}
+    counts = {r.metric: r.value for r in quality.branch_quality(raw).collect()}
+    assert counts["malformed_rows"] == 2
 
 
 def test_merge_keeps_old_columns_and_adds_new_ones(spark, tmp_path):
@@ -232,5 +260,7 @@ def test_jdbc_tables_are_read_slice_by_slice(monkeypatch, spark):
     months = [f"TXN_MONTH = {month}" for month in range(1, 13)]
     target = JdbcWarehouse("jdbc:any://host/db", slices={"CUSTOMER_MONTHLY": months})
     target.read(spark, "CUSTOMER_MONTHLY")
-    target.read(spark, "REGION_SUMMARY")
+    with pytest.raises(ValueError, match="no slices"):
+        target.read(spark, "REGION_SUMMARY")
+    JdbcWarehouse("jdbc:any://host/db", single_task=True).read(spark, "REGION_SUMMARY")
     assert seen == [months, None]

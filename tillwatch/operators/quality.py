@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.functions.typed import as_number, as_timestamp
-from tillwatch.settings import ACCOUNT_TYPES, CHANNELS, REGIONS, TRANSACTION_TYPES
+from tillwatch.settings import ACCOUNT_TYPES, CHANNELS, MALFORMED, REGIONS, TRANSACTION_TYPES
 
 
 def outside(name: str, allowed: Sequence[str]) -> Column:
@@ -52,9 +52,11 @@ def quality_report(
 
     All plain counts come from one pass without a shuffle. Duplicates are counted
     apart, over the key column alone: in one aggregate every key would have to
-    carry all other counters through the shuffle.
+    carry all other counters through the shuffle. A raw layer's malformed lines are counted too.
     """
     checks: dict[str, Column] = {"total_records": F.count(F.lit(1))}
+    if MALFORMED in df.columns:
+        checks["malformed_rows"] = F.count(MALFORMED)
     for name in not_null:
         checks[f"null_{name}"] = F.count_if(F.col(name).isNull())
     for name in non_negative:

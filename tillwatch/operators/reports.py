@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.functions.text import crore_text, money_text, period_text, whole_text
 from tillwatch.functions.typed import money
-from tillwatch.operators.fraud import alert_counts
+from tillwatch.operators.fraud import alert_totals
 from tillwatch.settings import BURST, DAILY_SPEND, DORMANT, HIGH_VALUE
 
 # --- fixed values: display names of the rules, and the text shown instead of an amount ---
@@ -23,7 +23,6 @@ RULE_TITLES = {
     DAILY_SPEND: "High Daily Spend",
     DORMANT: "Dormant Active",
 }
-RULE_AMOUNTS = {HIGH_VALUE: "amount", BURST: "total_amount", DAILY_SPEND: "daily_spend"}
 NO_AMOUNT = "Suspicious"
 # --- end of fixed values ---
 
@@ -59,13 +58,18 @@ def _count_card(df: DataFrame, name: str, grouped: bool = True) -> DataFrame:
 
 def overview_cards(cust: DataFrame, kpi: DataFrame, alerts: Mapping[str, DataFrame]) -> DataFrame:
     """Customers, transactions, total debit and alerts; customers are counted, not assumed."""
+    return overview_from_totals(cust, kpi, alert_totals(alerts))
+
+
+def overview_from_totals(cust: DataFrame, kpi: DataFrame, alerts: DataFrame) -> DataFrame:
+    """`kpi` needs total_transactions and total_debit only, `alerts` one row per rule."""
     sums = kpi.agg(F.sum("total_transactions").alias("txns"), money(F.sum("total_debit")).alias("debit"))
     from_kpi = _cards(
         sums,
         total_transactions=(F.col("txns"), whole_text(F.col("txns"))),
         total_debit=(F.col("debit"), crore_text(F.col("debit"))),
     )
-    found = alert_counts(alerts).agg(F.sum("alerts").alias("n"))
+    found = alerts.agg(F.sum("alerts").alias("n"))
     from_alerts = _cards(found, total_alerts=(F.col("n"), F.col("n").cast("string")))
     return _count_card(cust, "total_customers").unionByName(from_kpi).unionByName(from_alerts)
 
@@ -93,24 +97,28 @@ def debit_credit_by_account_type(kpi: DataFrame) -> DataFrame:
 
 def fraud_cards(alerts: Mapping[str, DataFrame]) -> DataFrame:
     """Alerts and amount per rule; the dormant rule has no amount of its own."""
-    parts = []
-    for fraud_type, df in alerts.items():
-        source = RULE_AMOUNTS.get(fraud_type)
-        amount = money(F.sum(source)) if source else F.lit(None).cast("double")
-        counted = df.agg(F.count(F.lit(1)).alias("alerts"), amount.alias("amount"))
-        # A rule without alerts adds up to nothing, which is shown as zero.
-        text = crore_text(F.coalesce("amount", F.lit(0.0))) if source else F.lit(NO_AMOUNT)
-        parts.append(
-            counted.select(
-                F.lit(RULE_TITLES[fraud_type]).alias("rule"), "alerts", "amount", text.alias("display")
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    return cards_from_totals(alert_totals(alerts))
+
+
+def _titles() -> Column:
+    return F.coalesce(*[F.when(F.col("fraud_type") == name, title) for name, title in RULE_TITLES.items()])
+
+
+def cards_from_totals(totals: DataFrame) -> DataFrame:
+    # A rule without alerts adds up to nothing, which is shown as zero.
+    text = F.when(F.col("fraud_type") == DORMANT, NO_AMOUNT).otherwise(
+        crore_text(F.coalesce("amount", F.lit(0.0)))
+    )
+    rounded = totals.withColumn("amount", money(F.col("amount")))
+    return rounded.select(_titles().alias("rule"), "alerts", "amount", text.alias("display"))
 
 
 def fraud_counts_by_type(alerts: Mapping[str, DataFrame]) -> DataFrame:
-    titled = {RULE_TITLES[name]: df for name, df in alerts.items()}
-    return alert_counts(titled).select(F.col("fraud_type").alias("type"), F.col("alerts").alias("count"))
+    return counts_from_totals(alert_totals(alerts))
+
+
+def counts_from_totals(totals: DataFrame) -> DataFrame:
+    return totals.select(_titles().alias("type"), F.col("alerts").alias("count"))
 
 
 def high_value_by_channel(high_value_alerts: DataFrame) -> DataFrame:

@@ -12,7 +12,10 @@ from tillwatch.functions.audit import with_constants
 from tillwatch.functions.typed import as_number, as_timestamp
 from tillwatch.settings import (
     INVALID_TIMESTAMP,
+    MALFORMED,
+    MALFORMED_ROW,
     NEGATIVE_AMOUNT,
+    NOT_FINITE,
     NULL_ACCOUNT_NUMBER,
     NULL_AMOUNT,
     NULL_CRITICAL,
@@ -34,14 +37,17 @@ def split_rejects(
 
     `rules` maps a reason to its condition. `keep` is a further condition for the
     clean side only: rows that break no rule but fail it land on neither side.
-    Both sides are narrow plans over `df`.
+    Lines that the raw layer marked as malformed are rejected before any rule; the
+    clean side has no such mark. Both sides are narrow plans over `df`.
     """
+    if MALFORMED in df.columns:
+        rules = {MALFORMED_ROW: F.col(MALFORMED).isNotNull(), **rules}
     reason = F.coalesce(*[F.when(broken, F.lit(text)) for text, broken in rules.items()])
     tagged = df.withColumn("rejection_reason", reason)
     rejected = with_constants(
         tagged.filter(F.col("rejection_reason").isNotNull()), rejected_timestamp=rejected_at
     )
-    clean = tagged.filter(F.col("rejection_reason").isNull()).drop("rejection_reason")
+    clean = tagged.filter(F.col("rejection_reason").isNull()).drop("rejection_reason", MALFORMED)
     return (clean if keep is None else clean.filter(keep)), rejected
 
 
@@ -65,7 +71,7 @@ def split_transactions(
 ) -> tuple[DataFrame, DataFrame]:
     """Zero amounts land on neither side, unless `strict` rejects them with their own reason.
 
-    An amount that is no number counts as a null amount.
+    `strict` also rejects infinite amounts and NaN, which otherwise pass. An amount that is no number counts as a null amount.
     """
     amount = as_number("amount")
     rules = {
@@ -77,6 +83,7 @@ def split_transactions(
     }
     if strict:
         rules[ZERO_AMOUNT] = amount == 0
+        rules[NOT_FINITE] = F.isnan(amount) | (F.abs(amount) == float("inf"))
     return split_rejects(df, rules, keep=amount > 0, rejected_at=rejected_at)
 
 

@@ -48,24 +48,49 @@ def account_totals(txn: DataFrame) -> DataFrame:
     )
 
 
+def _totals() -> list[Column]:
+    return [
+        F.count("transaction_id").alias("txn_count"),
+        F.sum("amount").alias("amount_sum"),
+        F.count("amount").alias("amount_count"),
+        F.max("amount").alias("amount_max"),
+        F.min("amount").alias("amount_min"),
+    ]
+
+
 def month_totals(txn: DataFrame) -> DataFrame:
-    """Unrounded totals per account, calendar month and type.
+    """Unrounded totals per account, calendar month and type, the finest grain any summary needs."""
+    when = F.col("transaction_timestamp")
+    return txn.groupBy(
+        "account_number",
+        F.year(when).alias("txn_year"),
+        F.month(when).alias("txn_month"),
+        "transaction_type",
+    ).agg(*_totals())
 
-    The finest grain any summary needs: stored once, it feeds all four of them
+
+def day_totals(txn: DataFrame) -> DataFrame:
+    """Unrounded totals per account, day and type.
+
+    Stored once, they feed all summaries and the alert rules on days and activity
     from a single pass over the transactions.
     """
-    when = F.col("transaction_timestamp")
-    return txn.groupBy(
+    return txn.groupBy("account_number", "transaction_date", "transaction_type").agg(*_totals())
+
+
+def months_from_days(days: DataFrame) -> DataFrame:
+    when = F.col("transaction_date")
+    return days.groupBy(
         "account_number",
         F.year(when).alias("txn_year"),
         F.month(when).alias("txn_month"),
         "transaction_type",
     ).agg(
-        F.count("transaction_id").alias("txn_count"),
-        F.sum("amount").alias("amount_sum"),
-        F.count("amount").alias("amount_count"),
-        F.max("amount").alias("amount_max"),
-        F.min("amount").alias("amount_min"),
+        F.sum("txn_count").alias("txn_count"),
+        F.sum("amount_sum").alias("amount_sum"),
+        F.sum("amount_count").alias("amount_count"),
+        F.max("amount_max").alias("amount_max"),
+        F.min("amount_min").alias("amount_min"),
     )
 
 
@@ -217,3 +242,11 @@ def account_activity(txn: DataFrame) -> DataFrame:
         F.max("transaction_date").alias("last_txn_date"),
         F.count("transaction_id").alias("total_txns"),
     )
+
+
+def activity_from_days(days: DataFrame) -> DataFrame:
+    return days.groupBy("account_number").agg(
+        F.min("transaction_date").alias("first_txn_date"),
+        F.max("transaction_date").alias("last_txn_date"),
+        F.sum("txn_count").alias("total_txns"),
+    )

@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwatch.functions.audit import run_stamp
-from tillwatch.operators import fraud, routing, summaries
+from tillwatch.operators import fraud, quality, routing, summaries
 from tillwatch.plans import layers
 from tillwatch.settings import BURST, DAILY_SPEND, DEFAULT_RULES, DORMANT, HIGH_VALUE, RuleParams
-from tillwatch.sources.scratch import scratch_folder
-from tillwatch.sources.tables import DEFAULT_FORMAT, layer_path, read_table, write_table
+from tillwatch.sources.tables import DEFAULT_FORMAT, layer_path, read_table, stored_schema, write_table
 from tillwatch.sources.warehouse import Warehouse, load_warehouse
 
 AUDIT_TYPES = {
@@ -25,6 +24,15 @@ AUDIT_TYPES = {
     "rows_rejected": "long",
     "run_timestamp": "string",
 }
+CHECK_TYPES = {
+    "table_name": "string",
+    "source_rows": "long",
+    "target_rows": "long",
+    "matches": "boolean",
+    "run_timestamp": "string",
+}
+# Totals by account and day, and by account and month: derived from silver, shared by the gold steps.
+DAYS, MONTHS = "account_days", "account_months"
 
 # --- fixed values: gold folders and the warehouse tables filled from them ---
 ALERT_FOLDERS = {
@@ -100,8 +108,18 @@ class DailyRun:
             "rows_rejected": rejected,
             "run_timestamp": self.stamp,
         }
-        row = [F.lit(v).cast(AUDIT_TYPES[name]).alias(name) for name, v in values.items()]
-        self.write(self.spark.range(1, numPartitions=1).select(*row), "audit", "runs", mode="append")
+        self._append("runs", values, AUDIT_TYPES)
+
+    def _append(self, entity: str, values: dict[str, object], types: dict[str, str]) -> None:
+        row = [F.lit(values[name]).cast(kind).alias(name) for name, kind in types.items()]
+        self.write(self.spark.range(1, numPartitions=1).select(*row), "audit", entity, mode="append")
+
+    def note_quality(self, entity: str, report: DataFrame) -> None:
+        """Append a quality report, one row per metric, to its table."""
+        stamped = report.select(
+            F.lit(entity).alias("entity"), "metric", "value", F.lit(self.stamp).alias("run_timestamp")
+        )
+        self.write(stamped.coalesce(1), "audit", "quality", mode="append")
 
     def load_bronze(self, entity: str) -> None:
         df = layers.bronze(self.spark, self.path("raw", entity), entity, self.stamp)
@@ -123,24 +141,37 @@ class DailyRun:
 
     def build_silver_customer(self) -> None:
         source = self.table("bronze", "customer")
+        self.note_quality("customer", quality.customer_quality(source))
         _, rejected = routing.split_customers(source, self.stamp)
         self._finish_silver("customer", layers.silver_customer(source, self.stamp), rejected)
 
     def build_silver_branch(self) -> None:
         source = self.table("bronze", "branch")
+        self.note_quality("branch", quality.branch_quality(source))
         _, rejected = routing.split_branches(source, self.stamp)
         self._finish_silver("branch", layers.silver_branch(source, self.stamp), rejected)
 
     def build_silver_transactions(self) -> None:
         source = self.table("bronze", "transactions")
+        self.note_quality("transactions", quality.transaction_quality(source))
         _, rejected = routing.split_transactions(source, self.strict, self.stamp)
         clean = layers.silver_transactions(source, self.strict, self.stamp)
         self._finish_silver("transactions", clean, rejected, partition_by=self.partition_by)
+        # Stored with the table they are derived from, so that they are never older than it.
+        self.write(summaries.day_totals(self.table("silver", "transactions")), "totals", DAYS)
+
+    def days(self) -> DataFrame:
+        """Totals by account and day; made here for tables of a version that did not store them."""
+        if stored_schema(self.spark, self.path("totals", DAYS), self.fmt) is None:
+            self.write(summaries.day_totals(self.table("silver", "transactions")), "totals", DAYS)
+        return self.table("totals", DAYS)
 
     def detect_fraud(self) -> None:
+        """Two rules read the transactions, two the stored days; a summary counts this run's alerts."""
         txn = self.table("silver", "transactions")
         rows_in = self.rows("silver", "transactions")
-        for name, alerts in fraud.all_rules(txn, self.rules, self.stamp).items():
+        found = {}
+        for name, alerts in fraud.rules_with_days(txn, self.days(), self.rules, self.stamp).items():
             folder = ALERT_FOLDERS[name]
             written = self.write(
                 alerts,
@@ -151,16 +182,19 @@ class DailyRun:
                 # The only rule that is a mere filter; the others end in a shuffle anyway.
                 compact=name == HIGH_VALUE,
             )
-            self.note(folder.replace("/", "_"), rows_in, self.rows("gold", folder) if written else 0)
+            found[name] = self.rows("gold", folder) if written else 0
+            self.note(folder.replace("/", "_"), rows_in, found[name])
+        rows = F.explode(F.array(*[F.struct(F.lit(k).alias("fraud_type"), F.lit(n).cast("long").alias("alerts")) for k, n in found.items()]))
+        counts = self.spark.range(1, numPartitions=1).select(rows.alias("row")).select("row.*")
+        summary = fraud.with_total(counts).withColumn("run_timestamp", F.lit(self.stamp))
+        self.write(summary, "gold", "fraud_alerts/summary")
 
     def build_summaries(self) -> None:
-        """One pass over the transactions: month totals, written once, feed all four tables."""
-        txn = self.table("silver", "transactions")
+        """Month totals, folded from the stored days and written once, feed all four tables."""
         cust = self.table("silver", "customer")
         branch = self.table("silver", "branch")
-        work = scratch_folder(self.spark, "totals") + "/months"
-        write_table(summaries.month_totals(txn), work)
-        months = read_table(self.spark, work)
+        self.write(summaries.months_from_days(self.days()), "totals", MONTHS)
+        months = self.table("totals", MONTHS)
         totals = summaries.account_totals_from_months(months)
         tables = {
             "customer_summary/monthly": summaries.monthly_from_totals(months, cust, load_ts=self.stamp),
@@ -181,6 +215,24 @@ class DailyRun:
             self.note(f"warehouse_{table.lower()}", self.rows("gold", folder), loaded[table])
         return loaded
 
+    def verify_warehouse(self, target: Warehouse) -> None:
+        """Count the warehouse tables anew and store both sides; an error if any differs from gold."""
+        differ = []
+        for table, folder in WAREHOUSE_TABLES.items():
+            source, stored = self.rows("gold", folder), target.rows(self.spark, table)
+            values = {
+                "table_name": table,
+                "source_rows": source,
+                "target_rows": stored,
+                "matches": source == stored,
+                "run_timestamp": self.stamp,
+            }
+            self._append("verification", values, CHECK_TYPES)
+            if source != stored:
+                differ.append(f"{table} ({source} in gold, {stored} in the warehouse)")
+        if differ:
+            raise RuntimeError("warehouse rows differ: " + ", ".join(differ))
+
     def run(self, target: Warehouse) -> dict[str, int]:
         """All steps in order."""
         for entity in ("customer", "branch", "transactions"):
@@ -190,4 +242,6 @@ class DailyRun:
         self.build_silver_transactions()
         self.detect_fraud()
         self.build_summaries()
-        return self.load_warehouse(target)
+        loaded = self.load_warehouse(target)
+        self.verify_warehouse(target)
+        return loaded

@@ -10,13 +10,14 @@ from tillwatch.functions.text import clean_label, clean_name
 from tillwatch.functions.typed import as_number, as_timestamp
 from tillwatch.operators.routing import dedup, split_branches, split_customers, split_transactions
 from tillwatch.schemas import raw_schema
-from tillwatch.settings import ACTIVE
+from tillwatch.settings import ACTIVE, MALFORMED
 from tillwatch.sources.tables import csv_columns, read_csv
 
 
 def bronze(spark: SparkSession, csv_path: str, entity: str, load_ts: str | None = None) -> DataFrame:
-    """Raw files as they are, plus load time and origin."""
-    raw = read_csv(spark, csv_path, raw_schema(entity, csv_columns(spark, csv_path)))
+    """Raw files as they are, plus load time and origin; `malformed_row` holds lines that do not fit."""
+    schema = raw_schema(entity, csv_columns(spark, csv_path))
+    raw = read_csv(spark, csv_path, schema, malformed=MALFORMED)
     return with_constants(raw, bronze_load_timestamp=load_ts, source_file=f"raw/{entity}")
 
 

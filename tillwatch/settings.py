@@ -32,8 +32,13 @@ RUPEE = "₹"
 CRORE = 10_000_000
 # --- end of fixed values ---
 
-# Reason used only when zero amounts are rejected instead of left out.
+# Reasons used only by strict runs; else zero amounts are left out and odd numbers are clean.
 ZERO_AMOUNT = "Zero amount"
+NOT_FINITE = "Amount is not finite"
+
+# Column of the raw layer that holds lines with too many or too few fields, and their reason.
+MALFORMED = "malformed_row"
+MALFORMED_ROW = "Malformed row"
 
 # Labels of the two rules that look across window edges and between visits.
 SLIDING_BURST = "SLIDING_BURST_TRANSACTIONS"

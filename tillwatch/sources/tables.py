@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,16 +20,26 @@ def layer_path(root: str, layer: str, entity: str) -> str:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, header: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    header: bool = True,
+    malformed: str | None = None,
 ) -> DataFrame:
     """CSV files. Without a schema one is inferred, at the price of a second pass.
 
     With a schema every file's header has to name the same columns in the same
-    order; Spark's default would relabel them by position.
+    order; Spark's default would relabel them by position. `malformed` names a
+    further text column for the whole line where it has too many or too few
+    fields (else null); it needs a schema.
     """
     reader = spark.read.option("header", header)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
+    if malformed is not None:
+        schema = T.StructType([*schema.fields, T.StructField(malformed, T.StringType())])
+        # Fields are counted over the whole line only if no column is pruned.
+        reader = reader.option("columnNameOfCorruptRecord", malformed).option("columnPruning", False)
     return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
@@ -102,9 +113,9 @@ def write_table(
     contents in place; otherwise an empty frame replaces them with an empty table.
     `tasks` fixes how many tasks write a partitioned table. `compact` gathers what
     a filter left of many tasks into few files; it shuffles the rows that are left.
+    With `skip_empty` rows are written beside the table and take its place only if
+    there are any, so `df` is computed once.
     """
-    if skip_empty and df.isEmpty():
-        return False
     if merge_schema:
         stored = stored_schema(df.sparkSession, path, fmt)
         df = df if stored is None else align_to(df, stored)
@@ -115,10 +126,29 @@ def write_table(
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if skip_empty and mode == "overwrite":
+        return _save_if_any(df, writer, path, fmt)
+    if skip_empty and df.isEmpty():
+        return False
     writer.save(path)
     return True
 
 
+def _save_if_any(df: DataFrame, writer: DataFrameWriter, path: str, fmt: str) -> bool:
+    spark = df.sparkSession
+    aside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    staged, table = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (aside, path))
+    files = table.getFileSystem(spark._jsc.hadoopConfiguration())
+    writer.save(aside)
+    if spark.read.schema(df.schema).format(fmt).load(aside).isEmpty():
+        files.delete(staged, True)
+        return False
+    files.delete(table, True)
+    if not files.rename(staged, table):
+        raise OSError(f"{aside} could not be moved to {path}")
+    return True
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table; for stored Parquet the counts come from file footers."""
     parts = [

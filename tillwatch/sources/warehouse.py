@@ -28,6 +28,9 @@ class FolderWarehouse:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return read_table(spark, layer_path(self.root, "warehouse", table))
 
+    def rows(self, spark: SparkSession, table: str) -> int:
+        return self.read(spark, table).count()
+
 
 @dataclass(frozen=True)
 class JdbcWarehouse:
@@ -36,7 +39,8 @@ class JdbcWarehouse:
     The table is truncated, not dropped, so grants and types stay. `connections`
     bounds the parallel sessions on the database. `slices` gives conditions per
     table that together cover it without overlap, such as one per month; each is
-    read by a task of its own. A table without slices goes through a single task.
+    read by a task of its own. Reading a table without slices is an error, unless
+    `single_task` allows to draw it through one task.
     """
 
     url: str
@@ -44,6 +48,7 @@ class JdbcWarehouse:
     connections: int = 16
     batch_size: int = 10_000
     slices: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    single_task: bool = False
 
     def replace(self, df: DataFrame, table: str) -> None:
         (
@@ -55,8 +60,15 @@ class JdbcWarehouse:
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         conditions = list(self.slices.get(table, ())) or None
+        if conditions is None and not self.single_task:
+            raise ValueError(f"{table} has no slices: give some, or allow single_task")
         return spark.read.jdbc(self.url, table, predicates=conditions, properties=dict(self.properties))
 
+    def rows(self, spark: SparkSession, table: str) -> int:
+        """Counted by the database itself."""
+        counted = f"(select count(*) as n from {table}) counted"
+        return int(spark.read.jdbc(self.url, counted, properties=dict(self.properties)).first()[0])
+
 
 Warehouse = FolderWarehouse | JdbcWarehouse
 
