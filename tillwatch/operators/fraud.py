@@ -139,12 +139,13 @@ def sliding_burst(
     slice of one account, never its whole life, and only the history is held twice.
     """
     ts = "transaction_timestamp"
-    width = minutes * 60_000_000
-    micros = F.unix_micros(ts)
-    rows = txn.filter(F.col(ts).isNotNull()).select(
-        "account_number", ts, "transaction_id", "amount", (micros - F.pmod(micros, F.lit(width))).alias("bucket")
+    back = F.expr(f"interval '{minutes}' minute")
+    rows = (
+        txn.filter(F.col(ts).isNotNull())
+        .withColumn("bucket", F.window(ts, f"{minutes} minutes"))
+        .select("account_number", ts, "transaction_id", "amount", F.col("bucket.start").alias("bucket"))
     )
-    ends = F.explode(F.array(F.col("bucket"), F.col("bucket") + width)).alias("end_bucket")
+    ends = F.explode(F.array(F.col("bucket"), F.col("bucket") + back)).alias("end_bucket")
     counts = rows.groupBy("account_number", "bucket").agg(F.count("transaction_id").alias("n"))
     crowded = (
         counts.select("account_number", "n", ends)
@@ -153,7 +154,7 @@ def sliding_burst(
         .filter(F.col("n") > max_count)
         .select(
             F.col("account_number").alias("crowded_account"),
-            F.explode(F.array(F.col("end_bucket") - width, F.col("end_bucket"))).alias("crowded_bucket"),
+            F.explode(F.array(F.col("end_bucket") - back, F.col("end_bucket"))).alias("crowded_bucket"),
         )
     )
     same = F.col("account_number").eqNullSafe(F.col("crowded_account")) & (
@@ -164,7 +165,6 @@ def sliding_burst(
     moments = suspects.groupBy("account_number", ts).agg(
         F.count("transaction_id").alias("n"), F.sum("amount").alias("amount")
     )
-    back = F.expr(f"interval '{minutes}' minute")
     sliced = moments.withColumn("slice", slices).select(
         "account_number",
         ts,
