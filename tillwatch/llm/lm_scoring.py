@@ -4,8 +4,8 @@ The model predicts the bytes of a text (A-Z lower-cased, words joined by one bla
 then an end symbol) from up to `depth` bytes before. A context stays in the tree if
 it is frequent enough and its successors diverge from those of its suffix by a
 likelihood-ratio test; probabilities are smoothed towards the suffix. Counting is
-one pass with a shuffle of partial counts. The tree has at most
-`depth / least_share` contexts, so it fits into every task at any corpus size.
+one pass with a shuffle of partial counts. At most `1 / least_share` contexts of a
+length can have the share needed, so the tree stops growing with the corpus.
 
 Beside it stands a plain model of words. Its counts grow with the corpus: words
 above a fixed share (and so of bounded number) are looked up in the tasks, and all
@@ -36,8 +36,8 @@ HELD_COUNTS = 3_000_000
 class TreeParams:
     """`least_share`: a context's share of all symbols. `frequent_share`: of a word among all words."""
 
-    depth: int = 5
-    least_share: float = 2e-5
+    depth: int = 7  # at most 7: a context and its successor share 64 bits
+    least_share: float = 5e-6
     frequent_share: float = 5e-7
     deviate: float = 3.09  # of the divergence test: one error in a thousand
 
@@ -156,37 +156,36 @@ def fit_tree(counts: DataFrame, params: TreeParams = TreeParams()) -> SuffixTree
     total = grams.agg(F.sum("n")).first()[0] or 0
     least = max(1, math.ceil(total * params.least_share))
     child = [np.full(256, -1, np.int32)]
-    rows = [_smoothed(np.zeros(256), np.full(256, 1 / 256))]
-    raw = [np.zeros(256)]
-    place = {0: 0}  # context of the length before: node
+    logs = [np.full(256, -math.log10(256), np.float32)]
+    # Of the length before: context -> node, counts, probabilities. Only these are compared with.
+    before: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
     for length in range(params.depth + 1):
         mask = (1 << (8 * (length + 1))) - 1 if length < 7 else -1
         level = grams.groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.sum("n").alias("n"))
         level = level.select(F.shiftrightunsigned("key", 8).alias("context"), F.col("key").bitwiseAND(255).alias("x"), "n")
         often = level.groupBy("context").agg(F.sum("n").alias("all")).filter(F.col("all") >= least)
         found = level.join(often.select("context"), "context").toPandas()
-        here: dict[int, int] = {}
+        here: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
         for context, part in found.groupby("context"):
             seen = np.zeros(256)
             seen[part["x"].to_numpy()] = part["n"].to_numpy()
             if length == 0:
-                raw[0], rows[0], here[0] = seen, _smoothed(seen, rows[0]), 0
+                here[0] = 0, seen, _smoothed(seen, np.full(256, 1 / 256))
+                logs[0] = np.log10(here[0][2]).astype(np.float32)
                 continue
             context = int(context)
-            parent = place.get(context & ((1 << (8 * (length - 1))) - 1))
-            if parent is None or (raw[parent] == 0).any() and not seen.any():
+            suffix = before.get(context & ((1 << (8 * (length - 1))) - 1))
+            if suffix is None:
                 continue
-            # Kept if it diverges; a suffix that does not is kept for those that reach through it
-            # only while it could still lead on, so the test decides what the tree looks like.
-            if _diverges(seen, raw[parent], params.deviate):
-                node = len(rows)
+            parent, parent_seen, parent_row = suffix
+            if _diverges(seen, parent_seen, params.deviate):
+                node, row = len(logs), _smoothed(seen, parent_row)
                 child.append(np.full(256, -1, np.int32))
-                rows.append(_smoothed(seen, rows[parent]))
-                raw.append(seen)
+                logs.append(np.log10(row).astype(np.float32))
                 child[parent][context >> (8 * (length - 1))] = node
-                here[context] = node
-        place = here
-    return SuffixTree(params.depth, np.stack(child), np.log10(np.stack(rows)).astype(np.float32))
+                here[context] = node, seen, row
+        before = here
+    return SuffixTree(params.depth, np.stack(child), np.stack(logs))
 
 
 def _smoothed(seen: np.ndarray, parent: np.ndarray) -> np.ndarray:
