@@ -36,7 +36,7 @@ HELD_COUNTS = 3_000_000
 class TreeParams:
     """`least_share`: a context's share of all symbols. `frequent_share`: of a word among all words."""
 
-    depth: int = 7  # at most 7: a context and its successor share 64 bits
+    depth: int = 5  # at most 7: a context and its successor share 64 bits
     least_share: float = 5e-6
     frequent_share: float = 5e-7
     deviate: float = 3.09  # of the divergence test: one error in a thousand
@@ -44,7 +44,10 @@ class TreeParams:
 
 @dataclass
 class SuffixTree:
-    """`child[s, c]`: the context c + s, or -1; `log_p[s, x]`: log10 probability of x after s."""
+    """`child[s, c]`: the context c + s, or -1; `log_p[s, x]`: log10 probability of x after s.
+
+    Contexts are in the order of their lengths; those of full depth have no row in `child`.
+    """
 
     depth: int
     child: np.ndarray
@@ -157,7 +160,7 @@ def fit_tree(counts: DataFrame, params: TreeParams = TreeParams()) -> SuffixTree
     least = max(1, math.ceil(total * params.least_share))
     child = [np.full(256, -1, np.int32)]
     logs = [np.full(256, -math.log10(256), np.float32)]
-    # Of the length before: context -> node, counts, probabilities. Only these are compared with.
+    # Of the length before: context -> node, successors, their counts. Only these are compared with.
     before: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
     for length in range(params.depth + 1):
         mask = (1 << (8 * (length + 1))) - 1 if length < 7 else -1
@@ -167,27 +170,33 @@ def fit_tree(counts: DataFrame, params: TreeParams = TreeParams()) -> SuffixTree
         found = level.join(often.select("context"), "context").toPandas()
         here: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
         for context, part in found.groupby("context"):
-            seen = np.zeros(256)
-            seen[part["x"].to_numpy()] = part["n"].to_numpy()
+            x, n = part["x"].to_numpy().astype(np.uint8), part["n"].to_numpy()
+            seen = _spread(x, n)
             if length == 0:
-                here[0] = 0, seen, _smoothed(seen, np.full(256, 1 / 256))
-                logs[0] = np.log10(here[0][2]).astype(np.float32)
+                here[0] = 0, x, n
+                logs[0] = np.log10(_smoothed(seen, np.full(256, 1 / 256))).astype(np.float32)
                 continue
             context = int(context)
             suffix = before.get(context & ((1 << (8 * (length - 1))) - 1))
             if suffix is None:
                 continue
-            parent, parent_seen, parent_row = suffix
-            if _diverges(seen, parent_seen, params.deviate):
-                node, row = len(logs), _smoothed(seen, parent_row)
-                child.append(np.full(256, -1, np.int32))
-                logs.append(np.log10(row).astype(np.float32))
-                child[parent][context >> (8 * (length - 1))] = node
-                here[context] = node, seen, row
+            parent, *parent_counts = suffix
+            if _diverges(seen, _spread(*parent_counts), params.deviate):
+                child[parent][context >> (8 * (length - 1))] = len(logs)
+                here[context] = len(logs), x, n
+                logs.append(np.log10(_smoothed(seen, 10.0 ** logs[parent].astype(np.float64))).astype(np.float32))
+                if length < params.depth:  # the longest contexts come last and lead nowhere
+                    child.append(np.full(256, -1, np.int32))
         before = here
     return SuffixTree(params.depth, np.stack(child), np.stack(logs))
 
 
+def _spread(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    out = np.zeros(256)
+    out[x] = n
+    return out
+
+
 def _smoothed(seen: np.ndarray, parent: np.ndarray) -> np.ndarray:
     """Counts mixed with the suffix's distribution, which weighs as much as there are kinds of symbols."""
     kinds = max(1, np.count_nonzero(seen))
