@@ -527,7 +527,11 @@ ORACLE["top_branches_amount"] = _with(
     BRANCHES,
 )
 ORACLE["region_ranked"] = _with(
-    "txn cust_orphan branch", "select * from regions order by total_amount desc", LINKED, REGIONS
+    "txn cust_orphan branch",
+    """select *, round(total_amount / nullif((select sum(total_amount) from regions), 0), 4) as amount_share
+       from regions order by total_amount desc""",
+    LINKED,
+    REGIONS,
 )
 ORACLE["region_txn_vs_customers"] = _with(
     "txn cust_orphan branch",

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import BRANCH_SCHEMA, CUST_SCHEMA
 from tillwatch.operators import reports, summaries
@@ -178,7 +179,11 @@ def test_reports_drop_null_groups_and_rank(star):
     assert melted.columns == ["account_type", "type", "amount"]
     assert melted.count() == 4
     regions = summaries.region_summary(*star)
-    assert [r.region for r in reports.ranked_regions(regions).collect()] == ["NORTH", None]
+    ranked = reports.ranked_regions(regions)
+    assert [r.region for r in ranked.collect()] == ["NORTH", None]
+    assert sum(r.amount_share for r in ranked.collect()) == pytest.approx(1, abs=1e-3)
+    nothing = reports.ranked_regions(regions.withColumn("total_amount", F.lit(0.0)))
+    assert [r.amount_share for r in nothing.collect()] == [None, None]
     assert reports.region_metrics(regions).count() == 4
 
 

@@ -156,8 +156,13 @@ def top_branches(summary: DataFrame, n: int = 10) -> DataFrame:
 
 
 def ranked_regions(summary: DataFrame) -> DataFrame:
-    """All regions, the largest amount first."""
-    return summary.orderBy(F.desc_nulls_last("total_amount"), "region")
+    """All regions, the largest amount first, with their share of the whole amount.
+
+    The share is null where the whole amount is zero or null.
+    """
+    whole = summary.agg(F.sum("total_amount")).scalar()
+    shared = summary.withColumn("amount_share", F.round(F.try_divide("total_amount", whole), 4))
+    return shared.orderBy(F.desc_nulls_last("total_amount"), "region")
 
 
 def region_metrics(summary: DataFrame) -> DataFrame:
