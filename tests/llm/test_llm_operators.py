@@ -299,6 +299,23 @@ def test_lm_base_is_exact_and_the_tree_is_a_distribution(docs, empty):
     assert lm_scoring.score_documents(empty, F.lit(False)).count() == 0
 
 
+def test_lm_contexts_below_the_share_count_as_those_above(docs):
+    small = docs.select("doc_id", F.expr("substr(text, 1, 600)").alias("text"))
+    held_out = F.coalesce(F.col("doc_id"), F.lit(0)) == 10
+    learnt = lm_scoring.corpus_counts(small.filter(~held_out).select("text"), 5)
+    total = learnt.filter(F.col("kind") == lm_scoring.GRAM).agg(F.sum("n")).first()[0]
+    params = [lm_scoring.TreeParams(depth=5, **p) for p in ({"least_share": 7.5 / total}, {"least_share": 0.05, "least_count": 8})]
+    held, joined = (lm_scoring.fit_tree(learnt, p) for p in params)
+    assert held.rare is None
+    # A context that occurs often enough stays, however small its share of the corpus.
+    assert joined.rare.count() > 50 and len(joined.log_p) + joined.rare.count() == len(held.log_p)
+    first, second = (
+        sorted((r.n_tokens, r.base_score, r.score) for r in lm_scoring.score_documents(small, held_out, p).collect())
+        for p in params
+    )
+    assert np.allclose(np.asarray(first), np.asarray(second), rtol=1e-5)
+
+
 def test_ledger_is_idempotent_and_signed(spark, docs, tmp_path):
     ledger = token_ledger.TokenLedger(spark, str(tmp_path))
     assert ledger.totals().count() == 0

@@ -3,9 +3,10 @@
 The model predicts the bytes of a text (A-Z lower-cased, words joined by one blank,
 then an end symbol) from up to `depth` bytes before. A context stays in the tree if
 it is frequent enough and its successors diverge from those of its suffix by a
-likelihood-ratio test; probabilities are smoothed towards the suffix. Counting is
-one pass with a shuffle of partial counts. At most `1 / least_share` contexts of a
-length can have the share needed, so the tree stops growing with the corpus.
+likelihood-ratio test, or if a longer one in the tree ends with it; probabilities are
+smoothed towards the suffix. Counting is one pass with a shuffle of partial counts.
+An absolute count is enough, so the tree grows with the corpus: contexts above a fixed
+share (of bounded number) are looked up in the tasks, and all others by a join.
 
 Beside it stands a plain model of words. Its counts grow with the corpus: words
 above a fixed share (and so of bounded number) are looked up in the tasks, and all
@@ -17,26 +18,33 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwatch.llm.text import NOT_BLANK, Words, split_words, text_chunks, written
+from tillwatch.llm.text import NOT_BLANK, Words, mix, split_words, text_chunks, written
 
 END, PAD = 0xFE, 0xFF  # bytes that do not occur in UTF-8
 TOKEN, GRAM = 0, 1
 END_TOKEN = 1  # stands for the end token among word hashes
 HELD_COUNTS = 3_000_000
+FILTER_BITS = 1 << 27
 
 
 @dataclass(frozen=True)
 class TreeParams:
-    """`least_share`: a context's share of all symbols. `frequent_share`: of a word among all words."""
+    """`least_count`: occurrences that a context needs (or `least_share`, if that is less).
 
-    depth: int = 5  # at most 7: a context and its successor share 64 bits
+    `least_share`: a context's share of all symbols from which on tasks hold it.
+    `frequent_share`: the same of a word among all words.
+    """
+
+    depth: int = 7  # at most 7: a context and its successor share 64 bits
+    least_count: int = 100
     least_share: float = 5e-6
     frequent_share: float = 5e-7
     deviate: float = 3.09  # of the divergence test: one error in a thousand
@@ -47,22 +55,40 @@ class SuffixTree:
     """`child[s, c]`: the context c + s, or -1; `log_p[s, x]`: log10 probability of x after s.
 
     Contexts are in the order of their lengths; those of full depth have no row in `child`.
+    `rare` holds the other contexts of the tree, and `bits` says which may be in it.
     """
 
     depth: int
     child: np.ndarray
     log_p: np.ndarray
+    bits: np.ndarray | None = None
+    rare: DataFrame | None = None
+
+    def score(self, padded: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 probability of each symbol from its longest context held here; lengths of that context.
 
-    def score(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol from its longest context in the tree."""
+        The last lengths are those up to which `rare` may have longer ones.
+        """
         node = np.zeros(len(at), np.int32)
+        length = np.zeros(len(at), np.int64)
         active = np.arange(len(at))
         for k in range(1, self.depth + 1):
             deeper = self.child[node[active], padded[at[active] - k]]
             found = deeper >= 0
             active = active[found]
             node[active] = deeper[found]
-        return self.log_p[node, padded[at]]
+            length[active] = k
+        longest = length.copy()
+        if self.bits is not None:
+            context = np.zeros(len(at), np.uint64)
+            for k in range(1, self.depth + 1):
+                context |= padded[at - k].astype(np.uint64) << np.uint64(8 * (k - 1))
+                active = np.flatnonzero(longest == k - 1)
+                active = active[length[active] < k]
+                bit = _bit_of(context[active] | np.uint64(k << 56))
+                known = self.bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1
+                longest[active[known > 0]] = k
+        return self.log_p[node, padded[at]], length, longest
 
 
 def symbols(words: Words, n: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,70 +178,152 @@ def corpus_counts(docs: DataFrame, depth: int) -> DataFrame:
 def fit_tree(counts: DataFrame, params: TreeParams = TreeParams()) -> SuffixTree:
     """Grow the tree from the counts of symbols with contexts of full depth.
 
-    Only contexts with at least `least_share` of all symbols come to the driver: at
-    most `1 / least_share` per length. With no counts every symbol is equally likely.
+    Contexts are counted, tested and smoothed as joins with those of their suffixes. Only
+    contexts with at least `least_share` of all symbols come to the driver, at most
+    `1 / least_share` per length; the others stay in the written table `rare`. With no
+    counts every symbol is equally likely.
     """
     grams = counts.filter(F.col("kind") == GRAM).select("key", "n")
     total = grams.agg(F.sum("n")).first()[0] or 0
-    least = max(1, math.ceil(total * params.least_share))
-    child = [np.full(256, -1, np.int32)]
-    logs = [np.full(256, -math.log10(256), np.float32)]
-    # Of the length before: context -> node, successors, their counts. Only these are compared with.
-    before: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
-    for length in range(params.depth + 1):
-        mask = (1 << (8 * (length + 1))) - 1 if length < 7 else -1
-        level = grams.groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.sum("n").alias("n"))
-        level = level.select(F.shiftrightunsigned("key", 8).alias("context"), F.col("key").bitwiseAND(255).alias("x"), "n")
-        often = level.groupBy("context").agg(F.sum("n").alias("all")).filter(F.col("all") >= least)
-        found = level.join(often.select("context"), "context").toPandas()
-        here: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
-        for context, part in found.groupby("context"):
-            x, n = part["x"].to_numpy().astype(np.uint8), part["n"].to_numpy()
-            seen = _spread(x, n)
-            if length == 0:
-                here[0] = 0, x, n
-                logs[0] = np.log10(_smoothed(seen, np.full(256, 1 / 256))).astype(np.float32)
-                continue
-            context = int(context)
-            suffix = before.get(context & ((1 << (8 * (length - 1))) - 1))
-            if suffix is None:
-                continue
-            parent, *parent_counts = suffix
-            if _diverges(seen, _spread(*parent_counts), params.deviate):
-                child[parent][context >> (8 * (length - 1))] = len(logs)
-                here[context] = len(logs), x, n
-                logs.append(np.log10(_smoothed(seen, 10.0 ** logs[parent].astype(np.float64))).astype(np.float32))
-                if length < params.depth:  # the longest contexts come last and lead nowhere
-                    child.append(np.full(256, -1, np.int32))
-        before = here
-    return SuffixTree(params.depth, np.stack(child), np.stack(logs))
-
-
-def _spread(x: np.ndarray, n: np.ndarray) -> np.ndarray:
-    out = np.zeros(256)
-    out[x] = n
-    return out
-
-
-def _smoothed(seen: np.ndarray, parent: np.ndarray) -> np.ndarray:
-    """Counts mixed with the suffix's distribution, which weighs as much as there are kinds of symbols."""
-    kinds = max(1, np.count_nonzero(seen))
-    return (seen + kinds * parent) / (seen.sum() + kinds)
-
-
-def _diverges(seen: np.ndarray, parent: np.ndarray, deviate: float) -> bool:
-    """Likelihood-ratio test of a context's successors against those of its suffix."""
-    there = seen > 0
-    expected = parent[there] * seen.sum() / parent.sum()
-    g = 2 * (seen[there] * np.log(seen[there] / expected)).sum()
-    free = max(1, np.count_nonzero(parent) - 1)
-    critical = free * (1 - 2 / (9 * free) + deviate * math.sqrt(2 / (9 * free))) ** 3
-    return bool(g > critical)
+    often = max(1, math.ceil(total * params.least_share))
+    least = min(often, params.least_count)
+    levels = [written(_level(grams, k, least), "contexts") for k in range(params.depth + 1)]
+    kept: dict[int, DataFrame] = {}
+    for k in range(params.depth, 0, -1):
+        known = _diverging(levels[k], levels[k - 1], k, params.deviate)
+        if k < params.depth:  # suffixes of contexts in the tree
+            known = known.union(kept[k + 1].select(_suffix(k + 1).alias("context"))).distinct()
+        kept[k] = written(known, "kept")
+    all_and_kinds = F.col("all") + F.col("kinds")
+    root = levels[0].select("context", "x", "all", "kinds", ((F.col("n") + F.col("kinds") / 256) / all_and_kinds).alias("p"))
+    nodes = [root]
+    for k in range(1, params.depth + 1):
+        below = nodes[-1].select(F.col("context").alias("suffix"), "x", F.col("p").alias("below"))
+        mine = levels[k].join(kept[k], "context", "left_semi").withColumn("suffix", _suffix(k)).join(below, ["suffix", "x"])
+        p = (F.col("n") + F.col("kinds") * F.col("below")) / all_and_kinds
+        nodes.append(written(mine.select("context", "x", "all", "kinds", p.alias("p")), "tree"))
+    child, log_p = _dense([n.filter(F.col("all") >= often).toPandas() for n in nodes])
+    rare, bits = None, None
+    if least < often:
+        rare = written(_rare(nodes, often), "rare-contexts")
+        bits = _filter_of(rare)
+    return SuffixTree(params.depth, child, log_p, bits, rare if bits is not None else None)
+
+
+def _level(grams: DataFrame, length: int, least: int) -> DataFrame:
+    """(context, x, n, all, kinds) of contexts of a length that occur often enough."""
+    mask = (1 << (8 * (length + 1))) - 1 if length < 7 else -1
+    level = grams.groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.sum("n").alias("n"))
+    level = level.select(F.shiftrightunsigned("key", 8).alias("context"), F.col("key").bitwiseAND(255).alias("x"), "n")
+    whole = Window.partitionBy("context")  # 256 rows at most
+    level = level.withColumns({"all": F.sum("n").over(whole), "kinds": F.count(F.lit(1)).over(whole)})
+    return level.filter(F.col("all") >= least)
+
+
+def _suffix(length: int):
+    return F.col("context").bitwiseAND(F.lit((1 << (8 * (length - 1))) - 1))
+
+
+def _diverging(level: DataFrame, before: DataFrame, length: int, deviate: float) -> DataFrame:
+    """Contexts whose successors fail the likelihood-ratio test against those of their suffixes."""
+    suffix = before.select(
+        F.col("context").alias("suffix"), "x", (F.col("n") / F.col("all")).alias("expected"), F.col("kinds").alias("free")
+    )
+    joined = level.withColumn("suffix", _suffix(length)).join(suffix, ["suffix", "x"])
+    g = 2 * F.sum(F.col("n") * F.log(F.col("n") / F.col("all") / F.col("expected")))
+    free = F.greatest(F.lit(1), F.first("free") - 1)
+    tested = joined.groupBy("context").agg(g.alias("g"), free.alias("free"))
+    v = 2 / (9 * F.col("free"))
+    return tested.filter(F.col("g") > F.col("free") * F.pow(1 - v + deviate * F.sqrt(v), F.lit(3.0))).select("context")
+
+
+def _dense(levels: list) -> tuple[np.ndarray, np.ndarray]:
+    """`child` and `log_p` of contexts given by length, each with all its suffixes."""
+    if not len(levels[0]):
+        return np.full((1, 256), -1, np.int32), np.full((1, 256), -math.log10(256), np.float32)
+    child, logs, before, start = [], [], np.zeros(0, np.int64), 0
+    for k, level in enumerate(levels):
+        context, at = np.unique(level["context"].to_numpy(np.int64), return_index=True)
+        kinds, whole = (level[c].to_numpy(np.float64)[at] for c in ("kinds", "all"))
+        share = np.log10(kinds / (kinds + whole))[:, None]
+        if k:
+            parent = np.searchsorted(before, context & ((1 << (8 * (k - 1))) - 1))
+            child[-1][parent, context >> (8 * (k - 1))] = start + np.arange(len(context))
+            log = logs[-1][parent] + share
+        else:
+            log = np.full((1, 256), -math.log10(256)) + share
+        place = np.searchsorted(context, level["context"].to_numpy(np.int64))
+        log[place, level["x"].to_numpy(np.int64)] = np.log10(level["p"].to_numpy(np.float64))
+        logs.append(log.astype(np.float32))
+        if k < len(levels) - 1:  # the longest contexts lead nowhere
+            child.append(np.full((len(context), 256), -1, np.int32))
+        before, start = context, start + len(context)
+    return np.concatenate(child or [np.full((1, 256), -1, np.int32)]), np.concatenate(logs)
+
+
+def _rare(nodes: list[DataFrame], often: int) -> DataFrame:
+    """(key, logs, unseen): per context below the share, log10 probabilities of its successors and the factor of others."""
+    parts = []
+    for k, level in enumerate(nodes[1:], 1):
+        key = F.col("context").bitwiseOR(F.lit(k << 56))
+        parts.append(level.filter(F.col("all") < often).select(key.alias("key"), "x", "all", "kinds", "p"))
+    entry = F.struct(F.col("x").cast("int"), F.log10("p").cast("float"))
+    unseen = F.first(F.log10(F.col("kinds") / (F.col("all") + F.col("kinds"))))
+    logs = F.map_from_entries(F.collect_list(entry))
+    return reduce(DataFrame.union, parts).groupBy("key").agg(logs.alias("logs"), unseen.alias("unseen"))
+
+
+def _bit_of(key: np.ndarray) -> np.ndarray:
+    return mix(key.astype(np.uint64)) & np.uint64(FILTER_BITS - 1)
+
+
+def _filter_of(rare: DataFrame) -> np.ndarray | None:
+    """A bit per hash of a rare context, of fixed size; None if there are no contexts. Only saves look-ups."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = _bit_of(batch.column("key").to_numpy()).astype(np.int64) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(bit)], ["bit"])
+
+    marked = rare.select("key").mapInArrow(run, "bit long").groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+    rows = marked.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    if not rows:
+        return None
+    bits = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
+    for row in rows:
+        bits[row["bucket"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    return bits.ravel()
+
+
+def _rare_scores(scored: DataFrame, rare: DataFrame) -> DataFrame:
+    """(row_id, rare_score): sums over the symbols whose context goes on below the share.
+
+    A symbol asks with its context as far as the filter let it go, and the probability
+    from the last context above the share. Equal questions are answered once.
+    """
+    asked = scored.select("row_id", F.explode(F.arrays_zip("gram", "span", "base")).alias("a")).select("row_id", "a.*")
+    k = F.col("k")
+    context = F.shiftrightunsigned("gram", 8).bitwiseAND(F.expr("shiftright(72057594037927935, 56 - 8 * k)"))
+    steps = asked.groupBy("gram", "span").agg(F.first("base").alias("base"))
+    low, high = F.shiftright("span", 3) + 1, F.col("span").bitwiseAND(7)
+    steps = steps.withColumn("k", F.explode(F.sequence(low, high)))
+    key = context.bitwiseOR(F.shiftleft(k.cast("long"), 56)).alias("key")
+    found = steps.select("gram", "span", "base", "k", key).join(rare, "key")
+    x = F.col("gram").bitwiseAND(255).cast("int")
+    found = found.select("gram", "span", "base", F.struct("k", "unseen", F.try_element_at("logs", x).alias("log")).alias("s"))
+    listed = found.groupBy("gram", "span").agg(F.first("base").alias("base"), F.array_sort(F.collect_list("s")).alias("s"))
+    # From the shortest context on: a successor seen there has its own probability, another one that of the suffix.
+    value = F.aggregate(
+        "s", F.col("base").cast("double"), lambda b, s: F.coalesce(s.log.cast("double"), b + s.unseen)
+    )
+    answers = listed.select("gram", "span", value.alias("value"))
+    whole = asked.join(answers, ["gram", "span"], "left")
+    return whole.groupBy("row_id").agg(F.sum(F.coalesce("value", F.col("base").cast("double"))).alias("rare_score"))
 
 
 SCORED = (
     "row_id long, doc_id long, n_tokens long, known long, common double, score double, "
-    "rare array<long>, times array<int>"
+    "rare array<long>, times array<int>, gram array<long>, span array<int>, base array<float>"
 )
 
 
@@ -242,7 +350,8 @@ def score_documents(docs: DataFrame, held_out, params: TreeParams = TreeParams()
     keys = often["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast((tree, keys[order], np.log10(often["n"].to_numpy()[order] + 1.0), ends))
+    held = SuffixTree(tree.depth, tree.child, tree.log_p, tree.bits)
+    shared = context.broadcast((held, keys[order], np.log10(often["n"].to_numpy()[order] + 1.0), ends))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, keys, logs, ends = shared.value
@@ -252,8 +361,15 @@ def score_documents(docs: DataFrame, held_out, params: TreeParams = TreeParams()
             words = split_words(texts, NOT_BLANK)
             common, known, rare = _known_words(words, n, keys, logs)
             padded, at, first = symbols(words, n, tree.depth)
-            sums = np.concatenate([[0.0], np.cumsum(tree.score(padded, at), dtype=np.float64)])
+            log_p, length, longest = tree.score(padded, at)
+            on = longest > length
+            sums = np.concatenate([[0.0], np.cumsum(np.where(on, 0.0, log_p), dtype=np.float64)])
             score = sums[first[1:]] - sums[first[:-1]]
+            offsets = np.searchsorted(np.flatnonzero(on), first).astype(np.int32)
+            gram = _gram_keys(padded, at[on], tree.depth)
+            spare = (8 * (7 - longest[on])).astype(np.uint64)  # bytes before the context
+            gram = (gram << spare) >> spare
+            asked = gram.view(np.int64), (length[on] << 3 | longest[on]).astype(np.int32), log_p[on]
             columns = [
                 pa.array(np.arange(row_id, row_id + n)),
                 batch.column("doc_id"),
@@ -262,6 +378,7 @@ def score_documents(docs: DataFrame, held_out, params: TreeParams = TreeParams()
                 pa.array(common + math.log10(ends + 1)),
                 pa.array(score),
                 *rare,
+                *[pa.ListArray.from_arrays(offsets, pa.array(x)) for x in asked],
             ]
             row_id += n
             names = [c.split()[0] for c in SCORED.replace("array<", "").split(", ")]
@@ -275,7 +392,11 @@ def score_documents(docs: DataFrame, held_out, params: TreeParams = TreeParams()
     looked_up = spread.join(few, "key").groupBy("row_id").agg(
         F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("rare_sum"), F.sum("times").alias("rare_known")
     )
-    whole = scored.drop("rare", "times").join(looked_up, "row_id", "left")
+    whole = scored.drop("rare", "times", "gram", "span", "base").join(looked_up, "row_id", "left")
+    score = F.col("score")
+    if tree.rare is not None:
+        whole = whole.join(_rare_scores(scored, tree.rare), "row_id", "left")
+        score = score + F.coalesce("rare_score", F.lit(0.0))
     per_token = math.log10(total + kinds + 1)
     return whole.select(
         "doc_id",
@@ -284,7 +405,7 @@ def score_documents(docs: DataFrame, held_out, params: TreeParams = TreeParams()
         (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("common") + F.coalesce("rare_sum", F.lit(0.0)) - F.col("n_tokens") * F.lit(per_token)).alias("base_score"),
-        "score",
+        score.alias("score"),
     )
 
 
