@@ -209,6 +209,23 @@ def test_near_duplicates_match_all_pairs(spark, docs, empty, block):
         assert near_dedup.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_short_near_duplicates_match_all_pairs(spark, percent):
+    rng, texts = random.Random(11), []
+    for i in range(6000):  # a common beginning for some; a further word adds one shingle
+        words = [f"v{i}x{j}" for j in range(rng.randint(6, 20))]
+        words[:5] = ["one", "very", "common", "first", "line"] if i % 50 == 0 else words[:5]
+        texts += [" ".join(words), " ".join([*words, f"other{i}"])]
+    sets, want = [shingles(t) for t in texts], list(range(len(texts)))
+    for i in range(0, len(texts), 2):  # no other pairs are near: at most one shingle is common
+        common = len(sets[i] & sets[i + 1])
+        if 100 * common >= percent * (len(sets[i]) + len(sets[i + 1]) - common):
+            want[i + 1] = i
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = near_dedup.near_duplicates(table, near_dedup.HyperMinHash(percent=percent)).collect()
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(want))
+
+
 def test_sketch_estimates_are_close():
     shape, rng = near_dedup.HyperMinHash(), np.random.default_rng(3)
     values = np.unique(rng.integers(0, 1 << 63, 5000).astype(np.uint64))

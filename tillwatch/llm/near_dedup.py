@@ -3,9 +3,11 @@
 One pass over the texts gives each document a hash of its whole shingle set and a
 sketch: per bucket the smallest hash, compressed to its count of leading zeros and
 a few bits behind them. Documents with equal sets become one node. Bands of
-registers deal nodes into buckets; in each bucket every node meets one centre, and
-the estimate from the registers, corrected for chance collisions, says which pairs
-are worth comparing in full. Verified links join nodes to components. Buckets that
+registers deal nodes into buckets. Small sets fill too few registers for that and
+are dealt by their rarest shingles instead, which misses no link. In each bucket
+every node meets one centre, and the estimate from the registers, corrected for
+chance collisions, says which pairs
+are worth comparing in full (of small sets all). Verified links join nodes to components. Buckets that
 still hold more than one component are then compared block by block, so no link
 between members of different components is lost, however full a bucket is.
 """
@@ -30,22 +32,30 @@ from tillwatch.llm.text import NOT_BLANK, Words, mix, split_words, text_chunks,
 class HyperMinHash:
     """Shape of the sketch and the link rule `100 * common >= percent * all`.
 
-    256 registers of 16 bits (6 for leading zeros, 10 behind them); 32 bands of 5
-    find a pair at 80 percent with probability 1 - 3e-6. `sigmas` standard errors
-    below the threshold a pair is still compared in full.
+    256 registers of 16 bits (6 for leading zeros, 10 behind them); 51 bands of 5
+    miss a pair at 80 percent with probability 2e-9. `sigmas` standard errors below
+    the threshold a pair is still compared in full, so the estimate drops about 3e-7
+    of such pairs. Of sets with less than `exact_below` shingles nothing is missed.
     """
 
     percent: int = 80
     shingle: int = 5
     registers: int = 256
     mantissa: int = 10
-    bands: int = 32
+    bands: int = 51
     rows: int = 5
-    sigmas: float = 4.0
+    sigmas: float = 5.0
+    exact_below: int = 100
     block: int = 1024  # nodes of a bucket that are compared with each other in one task
 
+    @property
+    def small(self) -> int:
+        """Largest set that a set below `exact_below` can be linked with."""
+        return 100 * self.exact_below // self.percent
+
 
 EMPTY = np.uint16(0xFFFF)
+HOT_SHINGLE = 20
 
 
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +137,7 @@ def chance_of(size: np.ndarray, shape: HyperMinHash) -> np.ndarray:
     return (mass**2).sum(1) / 2**shape.mantissa
 
 
-SKETCH = "row_id long, doc_id long, text_hash long, n_shingles long, set_hash binary, registers binary"
+SKETCH = "row_id long, doc_id long, text_hash long, n_shingles long, set_hash binary, registers binary, shingles array<long>"
 
 
 def sketch_documents(docs: DataFrame, shape: HyperMinHash) -> DataFrame:
@@ -140,14 +150,19 @@ def sketch_documents(docs: DataFrame, shape: HyperMinHash) -> DataFrame:
             doc, value = shingle_sets(split_words(texts, NOT_BLANK), shape.shingle)
             registers = sketches(doc, value, n, shape)
             at = np.searchsorted(doc, np.arange(n + 1))
+            sizes = np.diff(at)
+            small = np.where(sizes <= shape.small, sizes, 0)
+            listed = value[np.repeat(small > 0, sizes)].view(np.int64)
+            offsets = np.concatenate([[0], np.cumsum(small)]).astype(np.int32)
             hashes = [hashlib.blake2b(value[at[i] : at[i + 1]].tobytes(), digest_size=16).digest() for i in range(n)]
             columns = [
                 pa.array(np.arange(row_id, row_id + n)),
                 batch.column("doc_id"),
                 batch.column("text_hash"),
-                pa.array(np.diff(at)),
+                pa.array(sizes),
                 pa.array(hashes, pa.binary()),
                 pa.array([r.tobytes() for r in registers], pa.binary()),
+                pa.ListArray.from_arrays(offsets, pa.array(listed)),
             ]
             row_id += n
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in SKETCH.split(", ")])
@@ -174,7 +189,7 @@ def near_duplicates(docs: DataFrame, shape: HyperMinHash = HyperMinHash()) -> Da
     sketched = written(sketch_documents(docs, shape), "sketch")
     of_set = sketched.filter("n_shingles > 0").groupBy("set_hash")
     # The document that stands for a set has to be found again by id and text.
-    stands = F.min(F.struct("row_id", "doc_id", "text_hash", "n_shingles", "registers")).alias("s")
+    stands = F.min(F.struct("row_id", "doc_id", "text_hash", "n_shingles", "registers", "shingles")).alias("s")
     nodes = written(of_set.agg(stands).select("set_hash", "s.*").withColumnRenamed("row_id", "node"), "nodes")
     roots = _components(docs, nodes, shape)
 
@@ -256,7 +271,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _buckets(nodes: DataFrame, shape: HyperMinHash) -> DataFrame:
-    """(key, node, centre) of nodes whose band key occurs more than once."""
+    """(key, node, centre) of nodes whose key occurs more than once: bands, or rare shingles of small sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,13 +282,33 @@ def _buckets(nodes: DataFrame, shape: HyperMinHash) -> DataFrame:
                 used = keys.ravel() != 0
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()[used]), pa.array(node[used])], ["key", "node"])
 
-    keyed = nodes.select("node", "registers").mapInArrow(run, "key long, node long")
+    large = nodes.filter(F.col("n_shingles") >= shape.exact_below)
+    keyed = large.select("node", "registers").mapInArrow(run, "key long, node long").union(_prefixes(nodes, shape))
     # The same order in all bands, so that a node meets few different centres.
     first = F.min(F.struct(F.xxhash64("node"), F.col("node"))).alias("first")
     centres = keyed.groupBy("key").agg(first, F.count(F.lit(1)).alias("members")).filter("members > 1")
     return keyed.join(centres.select("key", F.col("first.node").alias("centre")), "key")
 
 
+def _prefixes(nodes: DataFrame, shape: HyperMinHash) -> DataFrame:
+    """(key, node): the first shingles of small sets in one order of all shingles, rare ones first.
+
+    Linked sets of n shingles have `percent` of n in common at least, so one of the
+    first n - that + 1 of each is common to both. Only shingles of many sets are put
+    last, as the others are rare anyway.
+    """
+    listed = nodes.filter((F.col("n_shingles") > 0) & (F.col("n_shingles") <= shape.small))
+    listed = listed.select("node", "n_shingles", F.explode("shingles").alias("shingle"))
+    hot = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).filter(F.col("sets") > HOT_SHINGLE)
+    ranked = listed.join(hot, "shingle", "left").select(
+        "node", "n_shingles", F.struct(F.coalesce("sets", F.lit(0)).alias("sets"), F.xxhash64("shingle").alias("hash"), "shingle").alias("s")
+    )
+    ordered = ranked.groupBy("node", "n_shingles").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    common = F.expr(f"cast((n_shingles * {shape.percent} + 99) div 100 as int)")
+    first = F.slice("s", F.lit(1), F.col("n_shingles").cast("int") - common + 1)
+    return ordered.select(F.explode(first).alias("s"), "node").select(F.xxhash64(F.lit("prefix"), "s.shingle").alias("key"), "node")
+
+
 def _registers(values: list[bytes], shape: HyperMinHash) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.uint16).reshape(len(values), shape.registers)
 
@@ -308,10 +343,10 @@ def _possible(similar, size_a, size_b, shape: HyperMinHash) -> np.ndarray:
 
 
 def _least(size: np.ndarray, shape: HyperMinHash) -> np.ndarray:
-    """Least estimate that still calls for a comparison. Small sets fill few registers: a wider error."""
-    t = shape.percent / 100
-    filled = np.maximum(1, shape.registers * (1 - np.exp(-np.asarray(size) / shape.registers)))
-    return t - shape.sigmas * np.sqrt(t * (1 - t) / filled)
+    """Least estimate that still calls for a comparison; small sets are compared whatever it is."""
+    t, size = shape.percent / 100, np.asarray(size)
+    filled = np.maximum(1, shape.registers * (1 - np.exp(-size / shape.registers)))
+    return np.where(size < shape.exact_below, -np.inf, t - shape.sigmas * np.sqrt(t * (1 - t) / filled))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
