@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.llm import (
     decontamination,
+    divergence,
     exact_dedup,
     licenses,
     lm_scoring,
@@ -225,3 +226,48 @@ def op9_pii_field(spark, sf):
 def op10_suffix_tree(spark, sf):
     docs = table(spark, sf, "documents")
     return lm_scoring.score_documents(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
+@query
+def op13_source_divergence(spark, sf):
+    return divergence.divergence(table(spark, sf, "documents"))
+
+
+ORACLE["op13_source_divergence"] = r"""
+with docs as (
+  select coalesce(lang, '') lang, coalesce(source, '') source, row_number() over () id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') w
+  from documents
+), groups as (
+  select distinct lang, source from docs
+), counted as (
+  select lang, source, id, term, count(*) n from (select lang, source, id, unnest(w) term from docs) group by all
+), kept as (
+  select lang, term, sum(n)::hugeint n from counted group by all having count(*) >= 10
+), langs as (
+  select lang, count(*) v, sum(n)::hugeint n from kept group by lang
+), counts as (
+  select c.lang, c.source, c.term, sum(c.n)::hugeint n from counted c join kept k on k.lang = c.lang and k.term = c.term group by all
+), totals as (
+  select lang, source, sum(n)::hugeint n from counts group by all
+), dense as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) n, 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (coalesce(t.n, 0) + 2 * l.v) p,
+    1 + (1000000000::hugeint * (k.n + 2)) // (l.n + 2 * l.v) q
+  from groups g join kept k on k.lang = g.lang join langs l on l.lang = g.lang
+    left join totals t on t.lang = g.lang and t.source = g.source
+    left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), sums as (
+  select a.lang, a.source, b.source item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) value
+  from dense a join dense b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), valued as (
+  select a.lang, a.source, 'pair' part, b.source item, coalesce(s.value, 0)::bigint value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source
+  union all
+  select lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::bigint from dense where n > 0 and p > q
+), ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item)::int rank from valued
+)
+select * from ranked where part = 'pair' or rank <= 10
+"""
