@@ -14,9 +14,11 @@ from tillwatch.llm import (
     licenses,
     lm_scoring,
     near_dedup,
+    ngram_join,
     packing,
     pii,
     secrets,
+    spelling,
     token_ledger,
     toxicity,
 )
@@ -228,6 +230,23 @@ def op10_suffix_tree(spark, sf):
     return lm_scoring.score_documents(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
+@query
+def op11_ngram_join(spark, sf):
+    return ngram_join.ngram_links(table(spark, sf, "documents"))
+
+
+ORACLE["op11_ngram_join"] = ORACLE["op8_hyperminhash"].replace(">= 85 *", ">= 80 *").replace(
+    """ component_id,
+  w.doc_id <= coalesce(y, w.doc_id) kept""",
+    " component_id",
+)
+
+
+@query
+def op12_spelling_variants(spark, sf):
+    return spelling.spelling_forms(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query
 def op13_source_divergence(spark, sf):
     return divergence.divergence(table(spark, sf, "documents"))
