@@ -124,7 +124,7 @@ def near_words(words: DataFrame, shape: Variants = Variants()) -> DataFrame:
                 continue
             above = vectors(column.to_pylist(), shape.groups)[:, : shape.top]
             own = subtrie_keys(above)
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([False] * len(own)), column], ["key", "probe", "word"])
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), pa.array([False] * len(own)), column], ["key", "probe", "word"])
             # A longer or equal word may have one more in a group and one less in another.
             for raised in range(-1, shape.top):
                 for lowered in range(-1, shape.top):
@@ -138,7 +138,7 @@ def near_words(words: DataFrame, shape: Variants = Variants()) -> DataFrame:
                     reached = (there >= 0).all(1)
                     keys = subtrie_keys(there[reached])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys), pa.array([True] * len(keys)), column.filter(pa.array(reached))], ["key", "probe", "word"]
+                        [pa.array(keys, pa.binary()), pa.array([True] * len(keys), pa.bool_()), column.filter(pa.array(reached))], ["key", "probe", "word"]
                     )
 
     dealt = words.select("word").mapInArrow(place, "key binary, probe boolean, word string")
