@@ -575,6 +575,42 @@ ORACLE["incremental_load"] = _with("txn", "select * from txn")
 ORACLE["incremental_load_late"] = _with("txn", "select * from txn")
 ORACLE["incremental_load_stream"] = _with("txn", "select * from txn")
 
+ORACLE["incremental_load_moved"] = _with(
+    "txn",
+    """select * replace (
+         cast(case when transaction_id % 10 < 2 then date_trunc('month', transaction_date) + interval 7 month
+              else date_trunc('month', transaction_date) end as date) as transaction_date,
+         case when transaction_id % 10 < 2 then amount + 1 else amount end as amount)
+       from txn""",
+)
+# A corrected row takes the place of the first one; a row that was damaged at first comes in with its correction.
+ORACLE["daily_incremental"] = _with(
+    "txn_delivered",
+    f"""select fraud_type, cast(account_number as varchar) as account_number, event_date, round(amount, 2) as amount, txn_count from (
+      select 'HIGH_VALUE_TRANSACTION' as fraud_type, account_number, day as event_date, amount, cast(1 as bigint) as txn_count
+      from last where amount > 490000
+      union all
+      select 'RAPID_BURST_TRANSACTIONS', account_number, cast(any_value(day) as date), sum(amount), count(*)
+      from last group by account_number, time_bucket(interval 10 minute, moment) having count(*) > 1
+      union all
+      select 'HIGH_DAILY_SPEND', account_number, day, sum(amount), count(*)
+      from last where transaction_type = 'DEBIT' group by account_number, day having sum(amount) > 400000
+      union all
+      select 'DORMANT_ACCOUNT_ACTIVE', account_number, max(day), null, count(*) from last group by account_number
+      having count(*) <= 10 and max(day) >= date '2001-06-01' and date_diff('day', min(day), max(day)) > 180
+      union all
+      select 'KPI', account_number, null, {_debit()}, count(*) from last group by account_number) found""",
+    """parsed as (
+      select transaction_id, account_number, upper(trim(transaction_type)) as transaction_type, amount,
+        try_cast(transaction_timestamp as timestamp) as moment, 0 as later from txn_delivered
+      union all
+      select transaction_id, account_number, upper(trim(transaction_type)), amount * 2,
+        cast(corrected_timestamp as timestamp), 1 from txn_delivered where corrected)""",
+    """last as (
+      select *, cast(moment as date) as day from parsed where transaction_id is not null and amount > 0 and moment is not null
+      qualify row_number() over (partition by transaction_id order by later desc) = 1)""",
+)
+
 # Step -> (rows in, rows out, rejected), each a table or a count, of a run over the damaged files.
 AUDIT = {
     "bronze_customer": ("cust_dirty", "cust_dirty", None),

@@ -16,10 +16,12 @@ from acceptance.views import base_table, over, view
 from tillwatch.functions.audit import with_constants
 from tillwatch.functions.typed import as_timestamp, money
 from tillwatch.operators import fraud, projection, quality, reports, routing, summaries
-from tillwatch.plans.daily import WAREHOUSE_TABLES, DailyRun
+from tillwatch.plans.daily import ALERT_FOLDERS, WAREHOUSE_TABLES, DailyRun
+from tillwatch.plans.increments import IncrementalRun
 from tillwatch.plans import incremental, layers
 from tillwatch.schemas import CONTRACTS, RAW_COLUMNS
 from tillwatch.settings import ACCOUNT_TYPES, HIGH_VALUE, RuleParams
+from tillwatch.sources.keyed import REPLACE
 from tillwatch.sources.scratch import scratch_folder
 from tillwatch.sources.tables import (
     compare_row_counts,
@@ -588,6 +590,43 @@ def incremental_load_late(spark, sf):
     return read_table(spark, path)
 
 
+@query
+def incremental_load_moved(spark, sf):
+    """Rows delivered under one month, some again as they were, some later corrected to another one."""
+    path = scratch_folder(spark, "moved") + "/transactions"
+    txn = view(spark, sf, "txn").withColumn("transaction_date", F.trunc("transaction_date", "month"))
+    moved = txn.withColumn("transaction_date", F.add_months("transaction_date", 7)).withColumn("amount", F.col("amount") + 1)
+    by = F.col("transaction_id") % 10
+    deliveries = (txn.filter(by < 6), moved.filter(by < 2).unionByName(txn.filter(by >= 4)), moved.filter(by < 2))
+    for part in deliveries:
+        incremental.incremental_load(part, path, on_conflict=REPLACE)
+    # Under `keep` a stored key stays as it is, whatever day it comes with.
+    incremental.incremental_load(moved.filter(by == 9), path)
+    return read_table(spark, path)
+
+
+@query
+def daily_incremental(spark, sf):
+    """Alerts and account figures after four deliveries, one of them repeated and one of corrections."""
+    root = scratch_folder(spark, "deliveries")
+    lines = view(spark, sf, "txn_delivered")
+    fixed = lines.withColumn("transaction_timestamp", F.col("corrected_timestamp")).withColumn("amount", F.col("amount") * 2)
+    write_csv(view(spark, sf, "cust_orphan"), f"{root}/in/0/customer")
+    write_csv(view(spark, sf, "branch"), f"{root}/in/0/branch")
+    parts = [lines.filter(f"part = {k}") for k in range(3)]
+    for k, part in enumerate([*parts, fixed.filter("corrected")]):
+        write_csv(part.drop("part", "corrected", "corrected_timestamp"), f"{root}/in/{k}/transactions")
+    for k in (0, 1, 0, 2, 3):
+        IncrementalRun(spark, root, STAMP, RULES).deliver(str(k), f"{root}/in/{k}")
+    run = IncrementalRun(spark, root, STAMP, RULES)
+    alerts = fraud.alerts_union({name: run.table("gold", folder) for name, folder in ALERT_FOLDERS.items()})
+    kpi = run.table("gold", "customer_summary/overall_kpi").select(
+        F.lit("KPI").alias("fraud_type"), "account_number", F.lit(None).cast("date").alias("event_date"),
+        F.col("total_debit").alias("amount"), F.col("total_transactions").alias("txn_count"),
+    )
+    return alerts.unionByName(kpi).withColumn("amount", money(F.col("amount")))
+
+
 @query
 def sink_partitioned_rebalance(spark, sf):
     """The default way to write date folders: one task per folder, large ones cut by size."""

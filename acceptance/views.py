@@ -106,6 +106,24 @@ select event_id as transaction_id,
 from {events}
 """
 
+# Raw lines of deliveries: one moment a day in few days, damaged rows among them. `part` is
+# the delivery a row first comes with; a later one corrects some rows, day included.
+TXN_DELIVERED = """
+select case when o_orderkey % 97 = 0 then null else o_orderkey end as transaction_id,
+       o_custkey as account_number,
+       case when o_orderkey % 71 = 5 then 'bad' else concat(substr(cast(o_orderdate as string), 1, 7), '-05 10:0', cast(o_orderkey % 10 as string), ':00') end
+         as transaction_timestamp,
+       case when o_orderstatus = 'F' then ' debit ' else 'CREDIT' end as transaction_type,
+       case when o_orderkey % 83 = 2 then null else o_totalprice end as amount,
+       'Shop' as merchant_name,
+       'UPI' as channel,
+       'city' as city,
+       cast(o_orderkey % 3 as int) as part,
+       o_orderkey % 11 = 3 as corrected,
+       concat(substr(cast(o_orderdate as string), 1, 7), '-06 11:0', cast(o_orderkey % 10 as string), ':00') as corrected_timestamp
+from {orders}
+"""
+
 VIEWS = {
     "txn": TXN,
     "txn_dirty": TXN_DIRTY,
@@ -115,6 +133,7 @@ VIEWS = {
     "branch": BRANCH,
     "branch_dirty": BRANCH_DIRTY,
     "evt": EVT,
+    "txn_delivered": TXN_DELIVERED,
 }
 
 

@@ -4,18 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.operators import routing
-from tillwatch.sources.tables import read_table, stored_schema, write_table
-
-
-def _identity(df: DataFrame, key: str) -> Column:
-    """What tells rows apart: the key, or all columns where it is null."""
-    columns = [F.col(f"`{c}`").cast("string") for c in sorted(df.columns)]
-    whole = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    return F.when(F.col(key).isNull(), whole)
+from tillwatch.sources.keyed import KEEP, KeyedTable, Loaded, identity
 
 
 def fresh_rows(
@@ -23,13 +16,14 @@ def fresh_rows(
 ) -> DataFrame:
     """Rows of `source` that `target` does not hold on any of the days that occur in `source`.
 
-    Late rows and rows without a day or time count like others. Of several rows
-    with one key the first in column order is taken; rows without a key are told
-    apart by all their columns. Three single values reach the driver: first and
-    last day and whether there are rows without one. As literals they prune the
-    target, so only its overlapping days are read.
+    For frames without a key index: a key that the target holds on another day counts as
+    fresh here; `incremental_load` finds it. Late rows and rows without a day or time
+    count like others. Of several rows with one key the first in column order is taken;
+    rows without a key are told apart by all their columns. Three single values reach the
+    driver: first and last day and whether there are rows without one. As literals they
+    prune the target, so only its overlapping days are read.
     """
-    named = source.withColumn("_identity", _identity(source, key))
+    named = source.withColumn("_identity", identity(source, key))
     first, last, none = source.agg(
         F.min(day), F.max(day), F.coalesce(F.max(F.col(day).isNull()), F.lit(False))
     ).first()
@@ -37,10 +31,8 @@ def fresh_rows(
     if none:
         in_reach = in_reach | F.col(day).isNull()
     near = target.filter(in_reach)
-    loaded = near.select(F.col(key).alias("_loaded"), _identity(near, key).alias("_loaded_identity"))
-    same = F.col(key).eqNullSafe(F.col("_loaded")) & F.col("_identity").eqNullSafe(F.col("_loaded_identity"))
-    once = routing.dedup(named, [key, "_identity"])
-    return once.join(loaded, same, "left_anti").select(*source.columns)
+    loaded = near.select(identity(near, key).alias("_identity"))
+    return routing.dedup(named, ["_identity"]).join(loaded, "_identity", "left_anti").select(*source.columns)
 
 
 def incremental_load(
@@ -49,11 +41,9 @@ def incremental_load(
     key: str = "transaction_id",
     day: str = "transaction_date",
     partition_by: Sequence[str] = ("transaction_date",),
-) -> None:
-    """Append the fresh rows to the table at `path`; repeatable, as rows already there stay out."""
-    spark = source.sparkSession
-    if stored_schema(spark, path) is None:
-        named = source.withColumn("_identity", _identity(source, key))
-        write_table(routing.dedup(named, [key, "_identity"]).drop("_identity"), path, partition_by=partition_by)
-        return
-    write_table(fresh_rows(source, read_table(spark, path), key, day), path, mode="append", partition_by=partition_by)
+    on_conflict: str = KEEP,
+    **options: object,
+) -> Loaded:
+    """Load a delivery into the table at `path`, one row per key whatever its day; see `KeyedTable`."""
+    table = KeyedTable(source.sparkSession, path, key, day, tuple(partition_by), **options)
+    return table.load(source, on_conflict)
