@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ class Variants:
     times: int = 2  # a form is at least so many times as frequent
     groups: int = 16
     top: int = 4
-    block: int = 20_000
+    block: int = 200_000
 
 
 def word_counts(docs: DataFrame, shape: Variants = Variants()) -> DataFrame:
@@ -168,20 +169,82 @@ def subtrie_keys(above: np.ndarray) -> list[bytes]:
 
 
 def _pairs_of(table: pa.Table, shape: Variants) -> pa.Table:
-    probe = np.asarray(table.column("probe").to_pylist(), bool)
-    words = np.asarray(table.column("word").to_pylist(), object)
-    members, probes = words[~probe].tolist(), words[probe].tolist()
+    probe = table.column("probe").combine_chunks()
+    words = table.column("word").combine_chunks()
+    members, probes = words.filter(pc.invert(probe)).to_pylist(), words.filter(probe).to_pylist()
     pairs = list(Trie(members, shape.groups).search(probes)) if members and probes else []
     return pa.Table.from_arrays([pa.array([p[k] for p in pairs], pa.string()) for k in (0, 1)], ["a", "b"])
 
 
+_UP = np.cumprod(np.full(25, 0x9E3779B97F4A7C15, np.uint64))
+_DOWN = np.cumprod(np.concatenate([[np.uint64(1)], np.full(25, pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64)]))
+
+
+class Letters:
+    """Words as rows of code points, padded with zeros; `wide` ones do not fit and are compared one by one."""
+
+    WIDTH = 24
+
+    def __init__(self, words: list[str]) -> None:
+        self.words = words
+        self.size = np.asarray([len(w) for w in words], np.int64)
+        self.rows = np.zeros((len(words), self.WIDTH + 1), np.uint32)
+        self.wide = self.size > self.WIDTH
+        fits = np.flatnonzero(~self.wide)
+        points = np.frombuffer("".join([words[i] for i in fits.tolist()]).encode("utf-32-le"), np.uint32)
+        self.rows[np.repeat(fits, self.size[fits]), _places(self.size[fits])] = points
+        # Hashes of both halves; and of those that a word one letter shorter would have.
+        sums = np.zeros((len(words), self.WIDTH + 2), np.uint64)
+        np.cumsum(self.rows * _UP[None, :], axis=1, out=sums[:, 1:])
+        self.halves = self._halves(sums, 0)
+        self.short_halves = self._halves(sums, 1)
+
+    def _halves(self, sums: np.ndarray, dropped: int) -> tuple[np.ndarray, np.ndarray]:
+        every, size = np.arange(len(self.size)), np.minimum(self.size, self.WIDTH)
+        head = np.maximum(size - dropped, 0) // 2
+        tail = size - (np.maximum(size - dropped, 0) - head)  # where the second half begins
+        begin = sums[every, tail]
+        return sums[every, head], (sums[every, size] - begin) * _DOWN[tail]
+
+
+def _places(size: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size, size)
+
+
+def edited(a: Letters, i: np.ndarray, b: Letters, j: np.ndarray) -> np.ndarray:
+    """Which words `b[j]` are `a[i]` with one letter inserted, or replaced to come later in order."""
+    out = np.zeros(len(i), bool)
+    wide = a.wide[i] | b.wide[j]
+    for k in np.flatnonzero(wide).tolist():
+        x, y = a.words[i[k]], b.words[j[k]]
+        out[k] = (len(y) > len(x) or y > x) and one_edit(x, y)
+    # One edit leaves a half as it was.
+    same = a.size[i] == b.size[j]
+    half = np.zeros(len(i), bool)
+    for k in (0, 1):
+        half |= a.halves[k][i] == np.where(same, b.halves[k][j], b.short_halves[k][j])
+    near = np.flatnonzero(half & ~wide)
+    left, right = a.rows[i[near]], b.rows[j[near]]
+    differ = left != right
+    first = differ.argmax(1)
+    every = np.arange(len(near))
+    longer = b.size[j[near]] - a.size[i[near]]
+    replaced = (longer == 0) & (differ.sum(1) == 1) & (right[every, first] > left[every, first])
+    # From the first difference on, the longer word goes on as the shorter one, a place later.
+    before = np.arange(Letters.WIDTH)[None, :] < first[:, None]
+    inserted = (longer == 1) & ((left[:, :-1] == right[:, 1:]) | before).all(1)
+    out[near] = replaced | inserted
+    return out
+
+
 class Trie:
     """Words under the counts of their letter groups, one level a group. A node is a run of the sorted words."""
 
     def __init__(self, words: list[str], groups: int) -> None:
         counts = vectors(words, groups)
         order = np.lexsort(counts.T[::-1])
-        self.words = [words[i] for i in order.tolist()]
+        self.letters = Letters([words[i] for i in order.tolist()])
         counts = counts[order]
         self.span = int(counts.max()) + 3
         self.levels: list[np.ndarray] = []  # of each level its children as parent * span + count, in order
@@ -197,9 +260,11 @@ class Trie:
         Many searches go down together; of each level the latest part is taken first
         and cut in half while it is large, so memory is bounded by the depth.
         """
+        letters = Letters(probes)
         vector = vectors(probes, len(self.levels))
         zero = np.zeros(len(probes), np.int64)
-        stack = [(0, np.arange(len(probes)), zero, zero.astype(bool), zero.astype(bool))]
+        # Searches with like vectors go through the same nodes.
+        stack = [(0, np.lexsort(vector.T[::-1]), zero, zero.astype(bool), zero.astype(bool))]
         while stack:
             level, probe, node, raised, lowered = stack.pop()
             if len(probe) > at_once:
@@ -207,7 +272,8 @@ class Trie:
                 stack += [(level, probe[s], node[s], raised[s], lowered[s]) for s in (slice(half), slice(half, None))]
                 continue
             if level == len(self.levels):
-                yield from self._verified(probes, probe, node, ~raised & lowered)
+                # A lower count alone means a shorter word.
+                yield from self._verified(letters, probe[raised | ~lowered], node[raised | ~lowered], at_once)
                 continue
             edges, want = self.levels[level], vector[probe, level]
             parts = []
@@ -223,11 +289,16 @@ class Trie:
             if len(below[0]):
                 stack.append((level + 1, *below))
 
-    def _verified(self, probes: list[str], probe: np.ndarray, leaf: np.ndarray, shorter: np.ndarray) -> Iterator[tuple[str, str]]:
-        for i, k in zip(probe[~shorter].tolist(), leaf[~shorter].tolist(), strict=True):
-            for word in self.words[self.first[k] : self.first[k + 1]]:
-                if (len(word) > len(probes[i]) or word > probes[i]) and one_edit(probes[i], word):
-                    yield probes[i], word
+    def _verified(self, probes: Letters, probe: np.ndarray, leaf: np.ndarray, at_once: int) -> Iterator[tuple[str, str]]:
+        """Words at the leaves that are one edit away, compared in parts of bounded size."""
+        size = self.first[leaf + 1] - self.first[leaf]
+        cuts = np.searchsorted(np.cumsum(size), np.arange(at_once, int(size.sum()) + at_once, at_once)) + 1
+        for part in np.split(np.arange(len(leaf)), cuts):
+            i = np.repeat(probe[part], size[part])
+            j = np.repeat(self.first[leaf[part]], size[part]) + _places(size[part])
+            hit = edited(probes, i, self.letters, j)
+            for a, b in zip(i[hit].tolist(), j[hit].tolist(), strict=True):
+                yield probes.words[a], self.letters.words[b]
 
 
 def one_edit(a: str, b: str) -> bool:
