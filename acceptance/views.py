@@ -111,7 +111,8 @@ from {events}
 TXN_DELIVERED = """
 select case when o_orderkey % 97 = 0 then null else o_orderkey end as transaction_id,
        o_custkey as account_number,
-       case when o_orderkey % 71 = 5 then 'bad' else concat(substr(cast(o_orderdate as string), 1, 7), '-05 10:0', cast(o_orderkey % 10 as string), ':00') end
+       case when o_orderkey % 71 = 5 then 'bad' else concat(substr(cast(o_orderdate as string), 1, 4), '-0', cast(o_orderkey % 3 + 4 as string), '-05 10:0',
+                                                           cast(o_orderkey % 10 as string), ':00') end
          as transaction_timestamp,
        case when o_orderstatus = 'F' then ' debit ' else 'CREDIT' end as transaction_type,
        case when o_orderkey % 83 = 2 then null else o_totalprice end as amount,
@@ -120,7 +121,7 @@ select case when o_orderkey % 97 = 0 then null else o_orderkey end as transactio
        'city' as city,
        cast(o_orderkey % 3 as int) as part,
        o_orderkey % 11 = 3 as corrected,
-       concat(substr(cast(o_orderdate as string), 1, 7), '-06 11:0', cast(o_orderkey % 10 as string), ':00') as corrected_timestamp
+       concat(substr(cast(o_orderdate as string), 1, 4), '-08-06 11:0', cast(o_orderkey % 10 as string), ':00') as corrected_timestamp
 from {orders}
 """
 

@@ -62,7 +62,7 @@ class KeyedTable:
     partition_by: tuple[str, ...] = ("transaction_date",)
     version: str | None = None
     unlike: tuple[str, ...] = ()
-    buckets: int = 64
+    buckets: int = 32
     compact_after: int = 32
     fmt: str = DEFAULT_FORMAT
 
