@@ -731,3 +731,27 @@ ORACLE["stream_daily_spend"] = _with(
     SPEND,
 )
 ORACLE["stream_dedup"] = _with("evt", "select * from evt")
+ORACLE["stream_burst_current"] = ORACLE["fraud_burst"]
+ORACLE["stream_daily_spend_current"] = ORACLE["fraud_daily_spend"]
+ORACLE["stream_reactivated"] = ORACLE["fraud_dormant_gap"]
+ORACLE["stream_burst_sliding"] = ORACLE["fraud_burst_sliding"]
+
+# Days that are closed by what came first, and the watermark when all has come.
+LATER_FIRST = (
+    """came as (select *, transaction_date between date '1994-06-30' and date '1998-03-31' as first from txn)""",
+    """marks as (
+      select max(transaction_timestamp) filter (where first) - interval 1 hour as before,
+             max(transaction_timestamp) - interval 1 hour as last from came)""",
+    """judged as (
+      select came.*, not first and transaction_date + interval 1 day <= before as late,
+             transaction_date + interval 1 day > last as open from came, marks)""",
+)
+ORACLE["stream_late_rows"] = _with(
+    "txn", "select transaction_id, account_number, amount, transaction_date, 'late' as kind from judged where late", *LATER_FIRST
+)
+ORACLE["stream_row_account"] = _with(
+    "txn",
+    """select count(*) as came, count(*) filter (where late) as late, cast(0 as bigint) as untimed,
+       count(*) filter (where not late and not open) as closed, count(*) filter (where not late and open) as open from judged""",
+    *LATER_FIRST,
+)

@@ -33,7 +33,7 @@ from tillwatch.sources.tables import (
     write_table,
 )
 from tillwatch.sources.warehouse import FolderWarehouse, load_all, load_warehouse, warehouse_rows
-from tillwatch.streaming import flows
+from tillwatch.streaming import flows, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -712,3 +712,74 @@ def stream_dedup(spark, sf):
     """Every event arrives twice; one of each is kept."""
     twice = _stream(spark, sf, "evt").unionByName(_stream(spark, sf, "evt"))
     return _settled(spark, flows.stream_dedup(twice, "transaction_id"), "dedup")
+
+
+def _in_pieces(spark, sf, name, pieces, table, keep=None):
+    """Feed a view to a table of windows, one file and one micro-batch a piece, each found by a stream of its own start."""
+    folder = scratch_folder(spark, "pieces")
+    base = spark.read.parquet(f"{sf}/{base_table(name)}.parquet")
+    for piece in pieces:
+        base.filter(piece).coalesce(1).write.mode("append").parquet(folder)
+        stream = over(spark, name, flows.read_stream(spark, folder, base.schema))
+        table.run_to_end(stream if keep is None else stream.filter(keep))
+    return table
+
+
+def _halves(spark, sf):
+    """Events before and from the middle of their time on."""
+    ends = spark.read.parquet(f"{sf}/events.parquet").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    middle = F.lit(ends.a + (ends.b - ends.a) / 2)
+    return F.col("ts") < middle, ~F.coalesce(F.col("ts") < middle, F.lit(False))
+
+
+@query
+def stream_burst_current(spark, sf):
+    """Bursts of a stream with the windows that are still open: the same as the batch rule finds."""
+    table = windows.WindowTable(spark, scratch_folder(spark, "bursts"))
+    return windows.bursts(_in_pieces(spark, sf, "evt", _halves(spark, sf), table), RULES.burst_over)
+
+
+@query
+def stream_daily_spend_current(spark, sf):
+    """Daily spend of a stream with the days that are still open: the same as the batch rule finds."""
+    table = windows.WindowTable(spark, scratch_folder(spark, "days"), windows.DAY, "1 hour")
+    pieces = (F.col("o_orderdate") < F.lit(LOAD_DAYS[0]), F.col("o_orderdate") >= F.lit(LOAD_DAYS[0]))
+    fed = _in_pieces(spark, sf, "txn", pieces, table, F.col("transaction_type") == "DEBIT")
+    return windows.daily_spend(fed, RULES.daily_spend_over)
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Rows behind the watermark of a table of days, after later days have come first."""
+    table = windows.WindowTable(spark, scratch_folder(spark, "days"), windows.DAY, "1 hour")
+    first = F.col("o_orderdate").between(F.lit(LOAD_DAYS[0]), F.lit(LOAD_DAYS[1]))
+    fed = _in_pieces(spark, sf, "txn", (first, ~first), table)
+    return fed.late().select("transaction_id", "account_number", "amount", "transaction_date", "kind")
+
+
+@query
+def stream_row_account(spark, sf):
+    """Of the same stream: rows that came, that windows hold (closed and open), and that are late."""
+    table = windows.WindowTable(spark, scratch_folder(spark, "days"), windows.DAY, "1 hour")
+    first = F.col("o_orderdate").between(F.lit(LOAD_DAYS[0]), F.lit(LOAD_DAYS[1]))
+    fed = _in_pieces(spark, sf, "txn", (first, ~first), table)
+    came = fed.progress().agg(F.sum("rows").alias("came"), F.sum("late").alias("late"), F.sum("untimed").alias("untimed"))
+    held = fed.totals().agg(
+        F.sum(F.when(F.col("open"), F.lit(0)).otherwise(F.col("rows"))).alias("closed"), F.sum(F.when(F.col("open"), F.col("rows")).otherwise(F.lit(0))).alias("open")
+    )
+    return came.join(held)
+
+
+@query
+def stream_reactivated(spark, sf):
+    """Accounts that move again after a gap, from a stream whose later days come first."""
+    table = windows.WindowTable(spark, scratch_folder(spark, "days"), windows.DAY, None)
+    first = F.col("o_orderdate").between(F.lit(LOAD_DAYS[0]), F.lit(LOAD_DAYS[1]))
+    return windows.reactivated(_in_pieces(spark, sf, "txn", (first, ~first), table))
+
+
+@query
+def stream_burst_sliding(spark, sf):
+    """Bursts up to any moment, from a stream of moments."""
+    table = windows.WindowTable(spark, scratch_folder(spark, "moments"), None, None)
+    return windows.sliding_bursts(_in_pieces(spark, sf, "evt", _halves(spark, sf), table), max_count=RULES.burst_over)

@@ -136,12 +136,24 @@ def sliding_burst(
     never its whole life, and only the history is held twice.
     """
     ts = "transaction_timestamp"
-    slices = F.window(ts, f"{slice_minutes + minutes} minutes", f"{slice_minutes} minutes")
     moments = (
         txn.filter(F.col(ts).isNotNull())
         .groupBy("account_number", ts)
         .agg(F.count("transaction_id").alias("n"), F.sum("amount").alias("amount"))
     )
+    return sliding_burst_from_moments(moments, minutes, max_count, detected_at, slice_minutes)
+
+
+def sliding_burst_from_moments(
+    moments: DataFrame,
+    minutes: int = 10,
+    max_count: int = DEFAULT_RULES.burst_over,
+    detected_at: str | None = None,
+    slice_minutes: int = 60,
+) -> DataFrame:
+    """`sliding_burst` of transactions that are folded to accounts and moments (n, amount) already."""
+    ts = "transaction_timestamp"
+    slices = F.window(ts, f"{slice_minutes + minutes} minutes", f"{slice_minutes} minutes")
     back = F.expr(f"interval '{minutes}' minute")
     sliced = moments.withColumn("slice", slices).select(
         "account_number",
@@ -184,6 +196,13 @@ def reactivated(
         .groupBy("account_number", "transaction_date")
         .agg(F.count("transaction_id").alias("txn_count"), F.sum("amount").alias("amount"))
     )
+    return reactivated_from_days(days, min_gap_days, detected_at)
+
+
+def reactivated_from_days(
+    days: DataFrame, min_gap_days: int = DEFAULT_RULES.dormant_gap_over, detected_at: str | None = None
+) -> DataFrame:
+    """`reactivated` of transactions that are folded to accounts and days (txn_count, amount) already."""
     before = F.lag("transaction_date").over(
         Window.partitionBy("account_number").orderBy("transaction_date")
     )
