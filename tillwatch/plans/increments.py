@@ -96,7 +96,7 @@ class IncrementalRun(DailyRun):
         txn = self.table("silver", "transactions")
         if not marks:
             days = [r[0] for r in txn.select(DAY).distinct().collect()]  # as many as the calendar has at most
-        if days:
+        if days or not marks:
             self._refold(txn, days)
         files.mark(self.spark, f"{done}/{number}")
         for old in marks:
