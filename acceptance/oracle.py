@@ -575,6 +575,13 @@ ORACLE["incremental_load"] = _with("txn", "select * from txn")
 ORACLE["incremental_load_late"] = _with("txn", "select * from txn")
 ORACLE["incremental_load_stream"] = _with("txn", "select * from txn")
 
+# Up to some thousand accounts of a branch the sketches are exact.
+ORACLE["distinct_accounts_span"] = _with(
+    "txn cust_orphan",
+    """select c.branch_id, count(distinct t.account_number) as distinct_accounts
+       from txn t left join cust_orphan c on t.account_number = c.account_number
+       where transaction_date between date '1994-06-30' and date '1998-03-31' group by c.branch_id""",
+)
 ORACLE["incremental_load_moved"] = _with(
     "txn",
     """select * replace (

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from acceptance.views import base_table, over, view
 from tillwatch.functions.audit import with_constants
 from tillwatch.functions.typed import as_timestamp, money
-from tillwatch.operators import fraud, projection, quality, reports, routing, summaries
+from tillwatch.operators import fraud, projection, quality, reports, routing, sketches, summaries
 from tillwatch.plans.daily import ALERT_FOLDERS, WAREHOUSE_TABLES, DailyRun
 from tillwatch.plans.increments import IncrementalRun
 from tillwatch.plans import incremental, layers
@@ -563,6 +563,15 @@ def top_monthly_spenders(spark, sf):
     return reports.top_monthly_spenders(_monthly(spark, sf))
 
 
+@query
+def distinct_accounts_span(spark, sf):
+    """Accounts per branch that moved in a span of days, from stored sketches of the days."""
+    path = scratch_folder(spark, "sketches")
+    txn, cust, _ = _star(spark, sf)
+    write_table(sketches.day_sketches(sketches.account_days(txn), cust), path)
+    return sketches.distinct_accounts(read_table(spark, path), *LOAD_DAYS)
+
+
 # ---- incremental, audit, streams ---------------------------------------------------------
 
 

@@ -1,4 +1,4 @@
-"""A shared scratch folder for sessions that name none."""
+"""A scratch folder for local sessions that name none; on a cluster it has to be set."""
 
 from __future__ import annotations
 
@@ -22,5 +22,7 @@ def with_shared_folder(query: Callable[[SparkSession, str], DataFrame]) -> Calla
 
 def ensure_shared_folder(spark: SparkSession) -> None:
     context = spark.sparkContext
-    if spark.conf.get("spark.checkpoint.dir", None) is None and context.getCheckpointDir() is None:
+    # Elsewhere one machine's folder would not be shared: queries that need one then say so.
+    local = context.master.startswith("local") and not context.master.startswith("local-cluster")
+    if local and spark.conf.get("spark.checkpoint.dir", None) is None and context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))

@@ -143,9 +143,17 @@ def _save_if_any(df: DataFrame, writer: DataFrameWriter, path: str, fmt: str) ->
     if spark.read.schema(df.schema).format(fmt).load(aside).isEmpty():
         files.delete(staged, True)
         return False
-    files.delete(table, True)
+    # The earlier table is moved aside and goes last: a run that breaks off between leaves one of the two.
+    before = spark._jvm.org.apache.hadoop.fs.Path(f"{aside}.before")
+    held = files.exists(table)
+    if held and not files.rename(table, before):
+        raise OSError(f"{path} could not be moved aside")
     if not files.rename(staged, table):
+        if held:
+            files.rename(before, table)
         raise OSError(f"{aside} could not be moved to {path}")
+    if held:
+        files.delete(before, True)
     return True
 
 
