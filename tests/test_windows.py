@@ -98,6 +98,23 @@ def test_any_order_of_files_gives_the_batch_rules(spark, tmp_path, txns):
     assert _rows(windows.sliding_bursts(moments)) == _rows(fraud.sliding_burst(every)) != []
 
 
+def test_alerts_are_found_batch_by_batch(spark, tmp_path, txns):
+    """In order of time the alerts of all batches are those of the rules; each shows with the batch that causes it."""
+    months = [("a", f"2025-{m:02d}-05 10:00:00", m) for m in (1, 2, 8, 9)] + [("b", "2025-08-05 10:00:00", 1)]
+    days = WindowTable(spark, str(tmp_path / "d"), windows.DAY, None, emit=windows.reactivated_now(100))
+    clicks = [("a", f"2025-03-01 10:{m:02d}:00", m) for m in (0, 3, 6, 9, 30, 31, 32, 33)] + [("b", "2025-03-01 10:10:00", 1)]
+    moments = WindowTable(spark, str(tmp_path / "m"), None, None, emit=windows.sliding_bursts_now(), back="10 minutes", compact_after=2)
+    every = {days: txns(months), moments: txns(clicks)}
+    for table, rows in every.items():
+        at = F.col("transaction_timestamp")
+        cuts = [at < "2025-03-01 10:07:00", (at >= "2025-03-01 10:07:00") & (at < "2025-08-01"), at >= "2025-08-01"]
+        for number, cut in enumerate(cuts):
+            table.take(rows.filter(cut), number)
+    assert _rows(days.alerts().drop("batch")) == _rows(fraud.reactivated(every[days], 100)) != []
+    assert {r.batch for r in days.alerts().collect()} == {2}
+    assert _rows(moments.alerts().drop("batch")) == _rows(fraud.sliding_burst(every[moments])) != []
+
+
 def test_days_follow_the_session_zone(spark, tmp_path, txns):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:

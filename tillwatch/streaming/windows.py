@@ -11,6 +11,7 @@ of a batch. Parts are folded together from time to time.
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,11 @@ class WindowTable:
     zone, or None for single moments. A row is late if its window ended `delay` or more
     before the latest time of the batches before its own; without `delay` none is. A
     moment ends with itself.
+
+    `emit` finds the alerts of a batch as it is taken: it gets the totals of the batch's
+    accounts, the batch among them, and the batch's own windows, and its rows are kept
+    under the batch's number. `back` bounds those totals in time to that much before the
+    batch's first window.
     """
 
     spark: SparkSession
@@ -42,6 +48,8 @@ class WindowTable:
     delay: str | None = "10 minutes"
     time: str = "transaction_timestamp"
     compact_after: int = 64
+    emit: Callable[[DataFrame, DataFrame], DataFrame] | None = None
+    back: str | None = None
 
     # ---- taking batches ----------------------------------------------------------------
 
@@ -67,6 +75,9 @@ class WindowTable:
             fold = rows.filter(F.col("_kind") == ON_TIME).groupBy("account_number", F.col("_slot.start").alias("start"), F.col("_slot.end").alias("end"))
             parts = fold.agg(F.count("transaction_id").alias("txn_count"), F.sum("amount").alias("total_amount"), F.count(F.lit(1)).alias("rows"))
             self._write(parts, f"parts/batch={number}")
+            if self.emit is not None:
+                own = self.spark.read.parquet(f"{self.path}/parts/batch={number}")
+                self._write(self.emit(self._around(own, number), own), f"alerts/batch={number}")
             self._write(rows.filter(F.col("_kind") != ON_TIME).drop("_slot").withColumnRenamed("_kind", "kind"), f"late/batch={number}")
             seen = [F.count_if(F.col("_kind") == k).alias(name) for k, name in ((ON_TIME, "on_time"), (LATE, "late"), (UNTIMED, "untimed"))]
             progress = rows.agg(F.count(F.lit(1)).alias("rows"), *seen, F.max(moment).alias("latest"))
@@ -75,6 +86,14 @@ class WindowTable:
             rows.unpersist()
         self.compact()
 
+    def _around(self, own: DataFrame, number: int) -> DataFrame:
+        """Totals of the accounts of a batch, with the batch itself and not too far back."""
+        totals = _added(self._parts(number))
+        if self.back is not None:
+            first = own.agg(F.min("start").alias("first")).first().first
+            totals = totals.filter(F.col("start") >= F.lit(first).cast("timestamp") - F.expr(f"interval {self.back}"))
+        return totals.join(own.select("account_number").distinct(), "account_number", "left_semi")
+
     def _slot(self, moment: Column) -> Column:
         if self.width is None:
             start, end = moment, moment
@@ -117,18 +136,26 @@ class WindowTable:
         found = [tuple(map(int, n.split("-"))) for n in files.names(self.spark, f"{self.path}/folds")]
         return max(found, default=(0, -1))
 
-    def totals(self) -> DataFrame:
-        """account_number, start, end, txn_count, total_amount, rows and whether the window is still open."""
+    def _parts(self, taking: int | None = None) -> DataFrame:
+        """Parts of all batches, among them the one that is being taken, and their folds."""
         number, upto = self._folds()
-        parts = self._read("parts", [n for n in self._batches() if n > upto])
+        parts = self._read("parts", [n for n in self._batches() if n > upto] + ([] if taking is None else [taking]))
         if number:
             folded = self.spark.read.parquet(f"{self.path}/folded/fold={number}")
             parts = folded if parts is None else parts.drop("batch").unionByName(folded)
         if parts is None:
             raise ValueError("no batch has been taken yet")
+        return parts
+
+    def totals(self) -> DataFrame:
+        """account_number, start, end, txn_count, total_amount, rows and whether the window is still open."""
         limit = self.watermark()
         still = F.lit(True) if limit is None else F.col("end") > F.lit(limit)
-        return _added(parts).withColumn("open", still)
+        return _added(self._parts()).withColumn("open", still)
+
+    def alerts(self) -> DataFrame | None:
+        """What `emit` found, with the `batch` it found it in."""
+        return self._read("alerts", self._batches())
 
     def late(self) -> DataFrame | None:
         """Rows that no window holds, as they came, with `kind` (late or untimed) and `batch`."""
@@ -182,20 +209,52 @@ def daily_spend(days: WindowTable, threshold: float = DEFAULT_RULES.daily_spend_
 
 def reactivated(days: WindowTable, min_gap_days: int = DEFAULT_RULES.dormant_gap_over, detected_at: str | None = None) -> DataFrame:
     """`fraud.reactivated` over a table of days; rows may have come in any order."""
-    folded = days.totals().select(
-        "account_number", F.col("start").cast("date").alias("transaction_date"), "txn_count", F.col("total_amount").alias("amount")
-    )
-    return fraud.reactivated_from_days(folded, min_gap_days, detected_at)
+    return fraud.reactivated_from_days(_as_days(days.totals()), min_gap_days, detected_at)
 
 
 def sliding_bursts(
     moments: WindowTable, minutes: int = 10, max_count: int = DEFAULT_RULES.burst_over, detected_at: str | None = None
 ) -> DataFrame:
     """`fraud.sliding_burst` over a table of moments."""
-    folded = moments.totals().select(
+    return fraud.sliding_burst_from_moments(_as_moments(moments.totals()), minutes, max_count, detected_at)
+
+
+def _as_days(totals: DataFrame) -> DataFrame:
+    return totals.select(
+        "account_number", F.col("start").cast("date").alias("transaction_date"), "txn_count", F.col("total_amount").alias("amount")
+    )
+
+
+def _as_moments(totals: DataFrame) -> DataFrame:
+    return totals.select(
         "account_number", F.col("start").alias("transaction_timestamp"), F.col("txn_count").alias("n"), F.col("total_amount").alias("amount")
     )
-    return fraud.sliding_burst_from_moments(folded, minutes, max_count, detected_at)
+
+
+def reactivated_now(min_gap_days: int = DEFAULT_RULES.dormant_gap_over, detected_at: str | None = None) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """For `emit` of a table of days: accounts that a batch wakes, on the batch's own days.
+
+    Alerts of all batches are those of the rule as long as days come in order. A day that
+    comes late can end a gap that was reported; `reactivated` reads the table as it then is.
+    """
+
+    def emit(totals: DataFrame, own: DataFrame) -> DataFrame:
+        found = fraud.reactivated_from_days(_as_days(totals), min_gap_days, detected_at)
+        return found.join(_as_days(own).select("account_number", "transaction_date"), ["account_number", "transaction_date"], "left_semi")
+
+    return emit
+
+
+def sliding_bursts_now(
+    minutes: int = 10, max_count: int = DEFAULT_RULES.burst_over, detected_at: str | None = None
+) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """For `emit` of a table of moments with `back` of as many minutes: bursts that end in a batch's own moments."""
+
+    def emit(totals: DataFrame, own: DataFrame) -> DataFrame:
+        found = fraud.sliding_burst_from_moments(_as_moments(totals), minutes, max_count, detected_at)
+        return found.join(own.select("account_number", F.col("start").alias("window_end")), ["account_number", "window_end"], "left_semi")
+
+    return emit
 
 
 class DroppedRows(StreamingQueryListener):
