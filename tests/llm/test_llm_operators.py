@@ -374,4 +374,4 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, tmp_path, docs)
         assert out.columns == docs.columns, name
     left = corpus_pipeline.run(spark, folder).select("doc_id").distinct().collect()
     assert {r.doc_id for r in left} >= {7, 11, 12, 13, 14, 16}
-    assert len(QUERIES) == 10
+    assert len(QUERIES) == 13

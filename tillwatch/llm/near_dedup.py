@@ -56,6 +56,7 @@ class HyperMinHash:
 
 EMPTY = np.uint16(0xFFFF)
 HOT_SHINGLE = 20
+SLOTS = 512  # which of them a set's shingles fall in tells exactly that some pairs are too far apart
 
 
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +138,7 @@ def chance_of(size: np.ndarray, shape: HyperMinHash) -> np.ndarray:
     return (mass**2).sum(1) / 2**shape.mantissa
 
 
-SKETCH = "row_id long, doc_id long, text_hash long, n_shingles long, set_hash binary, registers binary, shingles array<long>"
+SKETCH = "row_id long, doc_id long, text_hash long, n_shingles long, set_hash binary, registers binary, slots binary, shingles array<long>"
 
 
 def sketch_documents(docs: DataFrame, shape: HyperMinHash) -> DataFrame:
@@ -154,6 +155,9 @@ def sketch_documents(docs: DataFrame, shape: HyperMinHash) -> DataFrame:
             small = np.where(sizes <= shape.small, sizes, 0)
             listed = value[np.repeat(small > 0, sizes)].view(np.int64)
             offsets = np.concatenate([[0], np.cumsum(small)]).astype(np.int32)
+            slots = np.zeros((n, SLOTS), bool)
+            slots[doc, (value % np.uint64(SLOTS)).astype(np.int64)] = True
+            slots = np.packbits(slots, axis=1)
             hashes = [hashlib.blake2b(value[at[i] : at[i + 1]].tobytes(), digest_size=16).digest() for i in range(n)]
             columns = [
                 pa.array(np.arange(row_id, row_id + n)),
@@ -162,6 +166,7 @@ def sketch_documents(docs: DataFrame, shape: HyperMinHash) -> DataFrame:
                 pa.array(sizes),
                 pa.array(hashes, pa.binary()),
                 pa.array([r.tobytes() for r in registers], pa.binary()),
+                pa.array([s.tobytes() for s in slots], pa.binary()),
                 pa.ListArray.from_arrays(offsets, pa.array(listed)),
             ]
             row_id += n
@@ -189,7 +194,7 @@ def near_duplicates(docs: DataFrame, shape: HyperMinHash = HyperMinHash()) -> Da
     sketched = written(sketch_documents(docs, shape), "sketch")
     of_set = sketched.filter("n_shingles > 0").groupBy("set_hash")
     # The document that stands for a set has to be found again by id and text.
-    stands = F.min(F.struct("row_id", "doc_id", "text_hash", "n_shingles", "registers", "shingles")).alias("s")
+    stands = F.min(F.struct("row_id", "doc_id", "text_hash", "n_shingles", "registers", "slots", "shingles")).alias("s")
     nodes = written(of_set.agg(stands).select("set_hash", "s.*").withColumnRenamed("row_id", "node"), "nodes")
     roots = _components(docs, nodes, shape)
 
@@ -227,7 +232,7 @@ def keep_one(docs: DataFrame, shape: HyperMinHash = HyperMinHash()) -> DataFrame
 def _components(docs: DataFrame, nodes: DataFrame, shape: HyperMinHash) -> DataFrame:
     """(node, root) of all nodes that have a link."""
     buckets = written(_buckets(nodes, shape), "buckets")
-    light = nodes.select("node", "n_shingles", "registers")
+    light = nodes.select("node", "n_shingles", "registers", "slots")
     pairs = written(_near(_star_pairs(buckets), light, shape), "pairs")
     ids = _ends(pairs)
     texts = written(_texts(docs, nodes.join(ids, "node", "left_semi")), "texts")
@@ -286,8 +291,11 @@ def _buckets(nodes: DataFrame, shape: HyperMinHash) -> DataFrame:
     keyed = large.select("node", "registers").mapInArrow(run, "key long, node long").union(_prefixes(nodes, shape))
     # The same order in all bands, so that a node meets few different centres.
     first = F.min(F.struct(F.xxhash64("node"), F.col("node"))).alias("first")
-    centres = keyed.groupBy("key").agg(first, F.count(F.lit(1)).alias("members")).filter("members > 1")
-    return keyed.join(centres.select("key", F.col("first.node").alias("centre")), "key")
+    # Keys that the same nodes share, as those of one passage, are one bucket: equal by count and 128 bits of hashes.
+    same = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"same{k}") for k in (0, 1)]
+    centres = keyed.groupBy("key").agg(first, F.count(F.lit(1)).alias("members"), *same).filter("members > 1")
+    once = centres.groupBy("members", "same0", "same1").agg(F.min(F.struct("key", "first.node")).alias("c"))
+    return keyed.join(once.select("c.key", F.col("c.node").alias("centre")), "key")
 
 
 def _prefixes(nodes: DataFrame, shape: HyperMinHash) -> DataFrame:
@@ -328,12 +336,13 @@ def _near(pairs: DataFrame, light: DataFrame, shape: HyperMinHash) -> DataFrame:
             left, right = (_registers(batch.column(n).to_pylist(), shape) for n in ("registers_a", "registers_b"))
             similar = estimate(left, right, chance_of(size_a, shape))
             near = _possible(similar, size_a, size_b, shape)
+            near &= _within(*(_slots(batch.column(n).to_pylist()) for n in ("slots_a", "slots_b")), size_a, size_b, shape)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a[near]), pa.array(b[near]), pa.array(similar[near])], ["a", "b", "similar"]
             )
 
-    left = light.toDF("a", "size_a", "registers_a")
-    right = light.toDF("b", "size_b", "registers_b")
+    left = light.toDF("a", "size_a", "registers_a", "slots_a")
+    right = light.toDF("b", "size_b", "registers_b", "slots_b")
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long, similar double")
 
 
@@ -342,6 +351,17 @@ def _possible(similar, size_a, size_b, shape: HyperMinHash) -> np.ndarray:
     return sizes_fit & (similar >= np.minimum(_least(size_a, shape), _least(size_b, shape)))
 
 
+def _slots(values: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.uint64).reshape(len(values), SLOTS // 64)
+
+
+def _within(a: np.ndarray, b: np.ndarray, size_a, size_b, shape: HyperMinHash) -> np.ndarray:
+    """Whether slots differ in no more places than linked sets have shingles that only one holds; drops no link."""
+    both = size_a + size_b
+    common = -(-shape.percent * both // (100 + shape.percent))
+    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64) <= both - 2 * common
+
+
 def _least(size: np.ndarray, shape: HyperMinHash) -> np.ndarray:
     """Least estimate that still calls for a comparison; small sets are compared whatever it is."""
     t, size = shape.percent / 100, np.asarray(size)
@@ -433,8 +453,9 @@ def _by_group(blocks: DataFrame, compare: Callable, shape: HyperMinHash, schema:
     names = [part.split()[0] for part in schema.split(", ")]
 
     def columns_of(table: pa.Table) -> Group:
-        out = {c: table.column(c).to_numpy() for c in table.column_names if c not in ("registers", "text")}
+        out = {c: table.column(c).to_numpy() for c in table.column_names if c not in ("registers", "slots", "text")}
         out["registers"] = _registers(table.column("registers").to_pylist(), shape)
+        out["slots"] = _slots(table.column("slots").to_pylist())
         if "text" in table.column_names:
             out["text"] = np.asarray(table.column("text").to_pylist(), object)
         return out
@@ -483,7 +504,7 @@ def _near_pairs(group: Group, shape: HyperMinHash) -> tuple[np.ndarray, np.ndarr
 
     Each pair comes once: with the later nodes of the same block, or all of the other one.
     """
-    registers, root, size, block = (group[c] for c in ("registers", "root", "n_shingles", "block"))
+    registers, slots, root, size, block = (group[c] for c in ("registers", "slots", "root", "n_shingles", "block"))
     n_x = int((block == group["x"][0]).sum())
     same_block = group["x"][0] == group["y"][0]
     chance = chance_of(size, shape)
@@ -506,6 +527,7 @@ def _near_pairs(group: Group, shape: HyperMinHash) -> tuple[np.ndarray, np.ndarr
         at = js + low
         fits = 100 * np.minimum(size[i], size[at]) >= shape.percent * np.maximum(size[i], size[at])
         fits &= root[at] != root[i]
+        fits &= _within(slots[i], slots[at], size[i], size[at], shape)
         if fits.any():
             pairs.append(np.stack([np.full(fits.sum(), i), at[fits]], 1))
             estimates.append(similar[js[fits]])
