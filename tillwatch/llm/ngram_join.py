@@ -114,19 +114,22 @@ def _heads(at: np.ndarray, take: np.ndarray) -> np.ndarray:
 
 
 def _listed(docs: DataFrame, known: Broadcast | None, shape: NgramJoin) -> DataFrame:
-    """(gram) the prefix of each text by hash; with `known`, all n-grams of texts whose prefix holds a known one."""
+    """(gram) the prefix of each text by hash; with `known`, as far as it will reach without the known ones.
+
+    The share of known ones beyond the prefix is taken to be that in it, doubled to be
+    safe. What is missed is not counted and stays ordinary, which costs but is not wrong.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_chunks(batches):
             doc, value = shingle_sets(split_words(texts, NOT_BLANK), shape.words)
             at, size = _sizes(doc, len(texts))
-            first = _heads(at, np.where(size > 0, shape.prefix(size), 0))
-            if known is None:
-                out = value[first]
-            else:
-                hit = np.zeros(len(texts), bool)
-                hit[doc[first[_in_bits(known.value, value[first], shape)]]] = True
-                out = value[hit[doc]]
+            take = np.where(size > 0, shape.prefix(size), 0)
+            out = value[_heads(at, take)]
+            if known is not None:
+                gone = np.bincount(np.repeat(np.arange(len(texts)), take), _in_bits(known.value, out, shape), len(texts))
+                further = np.ceil(2 * gone * take / np.maximum(take - gone, 0.5)).astype(np.int64)
+                out = value[_heads(at, np.where(gone > 0, np.minimum(size, take + further), 0))]
             yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], ["gram"])
 
     return docs.select("text").mapInArrow(run, "gram long")
@@ -135,8 +138,8 @@ def _listed(docs: DataFrame, known: Broadcast | None, shape: NgramJoin) -> DataF
 def _hot_grams(docs: DataFrame, shape: NgramJoin) -> Broadcast:
     """Bit set of the n-grams that go last.
 
-    Counted first among prefixes by hash; then the texts that hold a frequent one
-    are counted whole, as their prefixes will reach further.
+    Counted first among prefixes by hash; then, of texts that hold a frequent one, as far
+    as their prefixes will reach without those.
     """
 
     def frequent(listed: DataFrame) -> DataFrame:
@@ -195,8 +198,7 @@ def _components(docs: DataFrame, nodes: DataFrame, hot: Broadcast, shape: NgramJ
     buckets = written(_buckets(nodes, shape), "buckets")
     sizes = nodes.select("node", "n")
     segments = Segments(docs, nodes, hot, shape)
-    links = written(segments.linked(_star_pairs(buckets, shape), sizes), "links")
-    roots = connected_components(links)
+    roots = connected_components(written(segments.linked(_star_pairs(buckets, shape), sizes), "links"))
     # Each component with its likeliest partner as long as many of them are linked; then all that is left.
     likeliest = True
     while True:
@@ -207,13 +209,25 @@ def _components(docs: DataFrame, nodes: DataFrame, hot: Broadcast, shape: NgramJ
         found = written(segments.linked(pairs, sizes), "links")
         more = found.count()
         if more:
-            links = links.union(found)
-            roots = connected_components(links)
+            roots = _joined(roots, found)
         if not likeliest:
             return roots
         likeliest = more * 10 > compared
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """`roots` with further links: only the components that these join are looked at again."""
+    ends = links
+    for c in ("a", "b"):
+        ends = ends.join(roots.toDF(c, f"root_{c}"), c, "left")
+    between = ends.select(*[F.coalesce(f"root_{c}", c).alias(c) for c in ("a", "b")])
+    moved = connected_components(between).toDF("old", "new")
+    held = roots.join(moved, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
+    # Nodes that had no link so far stand for themselves among the joined components.
+    single = moved.join(roots.select(F.col("root").alias("old")).distinct(), "old", "left_anti").toDF("node", "root")
+    return written(held.union(single), "roots")
+
+
 def _buckets(nodes: DataFrame, shape: NgramJoin) -> DataFrame:
     """(gram, node, n, pos) of prefix n-grams that several nodes hold; `pos` counts from 1."""
     listed = nodes.select(F.explode("prefix").alias("gram"))
