@@ -48,6 +48,8 @@ RULES = RuleParams(
 )
 # Cut-off days of the successive loads of `incremental_load`; the last load takes everything.
 LOAD_DAYS = (date(1994, 6, 30), date(1998, 3, 31))
+# Rows of one file that a stream is fed.
+PIECE_ROWS = 500_000
 
 QUERIES: dict[str, Query] = {}
 
@@ -724,11 +726,15 @@ def stream_dedup(spark, sf):
 
 
 def _in_pieces(spark, sf, name, pieces, table, keep=None):
-    """Feed a view to a table of windows, one file and one micro-batch a piece, each found by a stream of its own start."""
+    """Feed a view to a table of windows, one micro-batch a piece, each found by a stream of its own start.
+
+    A piece is written by as many tasks as read it, in files of bounded length: a file is
+    one row group otherwise, and all its rows are folded by one task.
+    """
     folder = scratch_folder(spark, "pieces")
     base = spark.read.parquet(f"{sf}/{base_table(name)}.parquet")
     for piece in pieces:
-        base.filter(piece).coalesce(1).write.mode("append").parquet(folder)
+        base.filter(piece).write.option("maxRecordsPerFile", PIECE_ROWS).mode("append").parquet(folder)
         stream = over(spark, name, flows.read_stream(spark, folder, base.schema))
         table.run_to_end(stream if keep is None else stream.filter(keep))
     return table
