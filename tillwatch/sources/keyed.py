@@ -230,7 +230,10 @@ class KeyedTable:
         equal = (F.col("held.row_hash") == F.col("_row_hash")) & F.col("held.day").eqNullSafe(F.col("_day"))
         older = F.coalesce(F.col("held.version") > F.col("_version"), F.lit(False))
         stays = F.lit(True) if on_conflict == KEEP else equal | older
-        kind = F.when(F.col("key").isNull(), F.lit(NEW)).when(stays, F.lit(SAME)).otherwise(F.lit(CHANGED))
+        fresh = F.col("key").isNull()
+        if on_conflict == KEEP:  # a row stored without a day does not stand for one that has its day
+            fresh = fresh | (F.col("held.day").isNull() & F.col("_day").isNotNull())
+        kind = F.when(fresh, F.lit(NEW)).when(stays, F.lit(SAME)).otherwise(F.lit(CHANGED))
         return met.select(*[F.col(f"`{c}`") for c in delivered.columns], kind.alias("_kind"), F.col("held.day").alias("_old_day"))
 
     @staticmethod
