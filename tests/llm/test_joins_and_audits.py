@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from acceptance.compare import connect, difference
 from tillwatch.llm import divergence, ngram_join, spelling
 from tillwatch.llm.queries import ORACLE, QUERIES
+from tillwatch.llm.text import CLEAN_UP, written
 
 SCHEMA = "doc_id long, text string, lang string, source string, n long, gram string, term string, word string, node long"
 SF_DIR = "/root/testdata/sf0.001"
@@ -251,3 +254,20 @@ def test_share_in_sql_is_the_same(spark):
     df = spark.createDataFrame([(5 * 10**12, 9 * 10**12, 4)], "c long, n long, v long")
     got = df.select(divergence._share(F.col("c"), F.col("n"), F.col("v"), divergence.Audit())).first()[0]
     assert got == 1 + 10**9 * (5 * 10**12 + 2) // (9 * 10**12 + 8)
+
+
+def test_shuffle_files_go_as_soon_as_a_frame_is_stored(spark):
+    """op11_ngram_join: shuffle files of all steps stayed until the driver collected garbage."""
+    folders = [Path(d.getPath()) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {f for d in folders for f in d.rglob("shuffle_*")}
+
+    before, kept = shuffled(), spark.conf.get(CLEAN_UP)
+    frame = spark.range(100_000).groupBy((F.col("id") % 1009).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    stored = written(frame, "counts")
+    end = time.monotonic() + 20
+    while time.monotonic() < end and shuffled() - before:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(CLEAN_UP) == kept and stored.count() == 1009

@@ -88,7 +88,7 @@ def _bit_set(grams: DataFrame, column: str, shape: NgramJoin) -> Broadcast:
     chunks = grams.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
     held = np.zeros(1 << (shape.bits - 3), np.uint8)
     width = 32_768 // 8
-    for row in chunks.toLocalIterator():
+    for row in written(chunks, "bits").toLocalIterator():
         part = np.frombuffer(row.bits, np.uint8)
         held[(row.bucket - 1) * width :][: len(part)] = part[: len(held)]
     return grams.sparkSession.sparkContext.broadcast(held)

@@ -22,6 +22,7 @@ NOT_BLANK[[0x20, 9, 10, 11, 12, 13]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 CHUNK_BYTES = 2 << 20  # text that is hashed together; bounds a task's memory
 _BLOCK = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
@@ -139,10 +140,19 @@ def _bytes_of(column: pa.Array) -> list[bytes]:
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """Store a frame in the shared scratch folder and read it back: cuts lineage, runs once."""
-    path = scratch_folder(df.sparkSession, f"{purpose}-{uuid.uuid4().hex[:6]}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Store a frame in the shared scratch folder and read it back: cuts lineage, runs once.
+
+    Its shuffle files go as soon as it is stored, not when the driver next collects garbage.
+    """
+    spark = df.sparkSession
+    path = scratch_folder(spark, f"{purpose}-{uuid.uuid4().hex[:6]}")
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
