@@ -172,8 +172,8 @@ class KeyedTable:
 
         Rows whose key is stored under no day are added. Of a key that is stored already
         `keep` leaves the stored row, `replace` puts the delivered one in its place, under
-        its own day, unless it is equal or of an older version. Only days that lose or
-        change a row are rewritten. Rows without a key are told apart by their columns.
+        its own day, unless it is equal or of an older version. Under `keep` a row stored without
+        a day does not stand for one that has its day. Only days that lose or change a row are rewritten. Rows without a key are told apart by their columns.
         """
         if on_conflict not in (KEEP, REPLACE):
             raise ValueError(f"on_conflict is {KEEP} or {REPLACE}, not {on_conflict}")
