@@ -10,13 +10,14 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from acceptance.compare import connect, difference
 from tillwatch.llm import divergence, ngram_join, spelling
 from tillwatch.llm.queries import ORACLE, QUERIES
-from tillwatch.llm.text import CLEAN_UP, written
+from tillwatch.llm.text import BATCH_BYTES, CHUNK_BYTES, CLEAN_UP, written
 
 SCHEMA = "doc_id long, text string, lang string, source string, n long, gram string, term string, word string, node long"
 SF_DIR = "/root/testdata/sf0.001"
@@ -271,3 +272,18 @@ def test_shuffle_files_go_as_soon_as_a_frame_is_stored(spark):
         time.sleep(0.2)
     assert not shuffled() - before
     assert spark.conf.get(CLEAN_UP) == kept and stored.count() == 1009
+
+
+def test_texts_reach_python_by_a_few_megabytes(spark):
+    """pipeline, exact_dedup: a batch held ten thousand rows of whatever length, several times over in a task."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    kept = spark.conf.get(BATCH_BYTES)
+    long = spark.range(0, 600, 1, 1).select(F.repeat(F.lit("abcdefghij"), 5_000).alias("text"))
+    stored = written(long.mapInArrow(sizes, "n long, size long"), "sizes")
+    most, rows = stored.agg(F.max("size"), F.sum("n")).first()
+    assert most < 3 * CHUNK_BYTES and rows == 600
+    assert spark.conf.get(BATCH_BYTES) == kept

@@ -23,6 +23,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 CHUNK_BYTES = 2 << 20  # text that is hashed together; bounds a task's memory
 _BLOCK = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
@@ -143,15 +144,19 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """Store a frame in the shared scratch folder and read it back: cuts lineage, runs once.
 
     Its shuffle files go as soon as it is stored, not when the driver next collects garbage.
+    Texts reach Python by a few MB, not by ten thousand rows of whatever length.
     """
     spark = df.sparkSession
     path = scratch_folder(spark, f"{purpose}-{uuid.uuid4().hex[:6]}")
-    before = spark.conf.get(CLEAN_UP)
-    spark.conf.set(CLEAN_UP, "true")
+    meanwhile = {CLEAN_UP: "true", BATCH_BYTES: str(2 * CHUNK_BYTES)}
+    before = {name: spark.conf.get(name) for name in meanwhile}
+    for name, value in meanwhile.items():
+        spark.conf.set(name, value)
     try:
         df.write.mode("overwrite").parquet(path)
     finally:
-        spark.conf.set(CLEAN_UP, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
