@@ -9,7 +9,8 @@ every node meets one centre, and the estimate from the registers, corrected for
 chance collisions, says which pairs
 are worth comparing in full (of small sets all). Verified links join nodes to components. Buckets that
 still hold more than one component are then compared block by block, so no link
-between members of different components is lost, however full a bucket is.
+between members of different components is lost, however full a bucket is; those that
+overlap are joined first.
 """
 
 from __future__ import annotations
@@ -46,7 +47,8 @@ class HyperMinHash:
     rows: int = 5
     sigmas: float = 5.0
     exact_below: int = 100
-    block: int = 1024  # nodes of a bucket that are compared with each other in one task
+    block: int = 4096  # nodes of a bucket whose sketches are compared with each other in one task
+    text_block: int = 1024  # the same of whole texts
 
     @property
     def small(self) -> int:
@@ -56,6 +58,8 @@ class HyperMinHash:
 
 EMPTY = np.uint16(0xFFFF)
 HOT_SHINGLE = 20
+HELD_PAIRS = 1 << 20  # of a group, before they are thinned out
+MOST_PARTS = 1 << 12  # of a block
 SLOTS = 512  # which of them a set's shingles fall in tells exactly that some pairs are too far apart
 
 
@@ -432,6 +436,8 @@ def _blocks(buckets: DataFrame, roots: DataFrame, light: DataFrame, shape: Hyper
             F.max(F.struct("members", "key")).alias("best"), F.first("root").alias("root")
         )
         dealt = best.select("best.key", "node", "root", "best.members")
+    else:
+        dealt = _families(written(dealt, "crowded"))
     n_blocks = F.ceil(F.col("members") / shape.block).cast("int")
     dealt = dealt.withColumn("n_blocks", n_blocks)
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), "n_blocks").cast("int"))
@@ -443,6 +449,29 @@ def _blocks(buckets: DataFrame, roots: DataFrame, light: DataFrame, shape: Hyper
     return copies.join(light, "node")
 
 
+def _families(dealt: DataFrame) -> DataFrame:
+    """(key, node, root, members): buckets that share a quarter of their nodes, or more, with a fuller one become one with it.
+
+    A family of texts, or texts around one passage, fills many buckets with ever other parts of
+    it; together each node, and each pair, comes once. All pairs of a bucket still meet. It is only done where
+    it saves comparisons.
+    """
+    fullest = dealt.groupBy("node").agg(F.max(F.struct("members", "key")).alias("best")).select("node", "best.key")
+    shares = dealt.join(fullest.withColumnRenamed("key", "home"), "node").groupBy("key", "members", "home")
+    most = shares.agg(F.count(F.lit(1)).alias("held")).groupBy("key", "members").agg(F.max(F.struct("held", "home")).alias("most"))
+    shared = F.col("most.held") * 4 >= F.col("members")
+    homes = written(most.select("key", "members", F.when(shared, F.col("most.home")).otherwise(F.col("key")).alias("home")), "homes")
+    family = dealt.join(homes.select("key", "home"), "key").select("home", "node", "root").distinct()
+    family = written(family, "families")
+    apart = homes.groupBy("home").agg(F.sum(F.col("members") * F.col("members")).alias("pairs"))
+    worth = family.groupBy("home").agg(F.count(F.lit(1)).alias("size")).join(apart, "home")
+    worth = written(worth.filter("size * size <= pairs").select("home", "size"), "worth")
+    key = F.xxhash64(F.lit("family"), "home").alias("key")  # a bucket that stays may have the name of a family
+    together = family.join(worth, "home").select(key, "node", "root", F.col("size").alias("members"))
+    stay = homes.join(worth, "home", "left_anti").select("key")
+    return together.unionByName(dealt.join(stay, "key", "left_semi"))
+
+
 Group = dict[str, np.ndarray]
 
 
@@ -499,8 +528,9 @@ def _cuts(data: Group) -> list[int]:
     return np.flatnonzero(change).tolist()
 
 
-def _near_pairs(group: Group, shape: HyperMinHash) -> tuple[np.ndarray, np.ndarray]:
-    """Places of pairs in a group that may be similar enough and are in different components; estimates.
+def _near_pairs(group: Group, shape: HyperMinHash) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of each node its place in the group, those of others that may be similar enough and are in different
+    components, and estimates.
 
     Each pair comes once: with the later nodes of the same block, or all of the other one.
     """
@@ -511,7 +541,6 @@ def _near_pairs(group: Group, shape: HyperMinHash) -> tuple[np.ndarray, np.ndarr
     least = _least(size, shape)
     empty = np.packbits(registers == EMPTY, axis=1).view(np.uint64)
     some_empty = bool(empty.any())
-    pairs, estimates = [np.zeros((0, 2), np.int64)], [np.zeros(0)]
     for i in range(n_x):
         low = i + 1 if same_block else n_x
         equal = (registers[low:] == registers[i]).view(np.uint64)
@@ -529,9 +558,13 @@ def _near_pairs(group: Group, shape: HyperMinHash) -> tuple[np.ndarray, np.ndarr
         fits &= root[at] != root[i]
         fits &= _within(slots[i], slots[at], size[i], size[at], shape)
         if fits.any():
-            pairs.append(np.stack([np.full(fits.sum(), i), at[fits]], 1))
-            estimates.append(similar[js[fits]])
-    return np.concatenate(pairs), np.concatenate(estimates)
+            yield i, at[fits], similar[js[fits]]
+
+
+def _flat(found: list[tuple[int, np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs, and their estimates."""
+    pairs = [np.zeros((0, 2), np.int64), *(np.stack([np.full(len(at), i), at], 1) for i, at, _ in found)]
+    return [(np.concatenate(pairs), np.concatenate([np.zeros(0), *(similar for *_, similar in found)]))]
 
 
 def _as_pairs(node: np.ndarray, pairs: np.ndarray) -> Group:
@@ -547,18 +580,47 @@ def _forest_of(shape: HyperMinHash) -> Callable[[Group], Group]:
     """
 
     def compare(group: Group) -> Group:
-        pairs, similar = _near_pairs(group, shape)
-        return _as_pairs(group["node"], pairs[_spanning(pairs, similar, group["root"])])
+        kept, waiting, held = [], [], 0
+        for found in _near_pairs(group, shape):
+            waiting.append(found)
+            held += len(found[1])
+            if held > HELD_PAIRS:  # a forest of all is one of the forests of parts
+                kept, waiting, held = [_forest([*kept, *_flat(waiting)], group)], [], 0
+        return _as_pairs(group["node"], _forest([*kept, *_flat(waiting)], group)[0])
 
     return compare
 
 
+def _forest(parts: list[tuple[np.ndarray, np.ndarray]], group: Group) -> tuple[np.ndarray, np.ndarray]:
+    pairs, similar = (np.concatenate(p) for p in zip(*parts, strict=True))
+    kept = _spanning(pairs, similar, group["root"])
+    return pairs[kept], similar[kept]
+
+
 def _near_of(shape: HyperMinHash) -> Callable[[Group], Group]:
-    """The nodes of a group that have a near pair in it."""
+    """The nodes of a group that have a near pair in it, dealt anew to pairs of blocks of `text_block` nodes."""
 
     def compare(group: Group) -> Group:
-        chosen = np.unique(_near_pairs(group, shape)[0])
-        return {c: group[c][chosen] for c in ("key", "x", "y", "node", "root", "block")}
+        chosen = np.zeros(len(group["node"]), bool)
+        for i, at, _ in _near_pairs(group, shape):
+            chosen[i] = True
+            chosen[at] = True
+        x, y = int(group["x"][0]), int(group["y"][0])
+        parts = {}
+        for block in {x, y}:
+            of_block = np.flatnonzero(chosen & (group["block"] == block))
+            cuts = range(shape.text_block, len(of_block), shape.text_block)
+            parts[block] = [(block * MOST_PARTS + k, part) for k, part in enumerate(np.split(of_block, cuts))]
+        dealt = [
+            (a, b, own, nodes)
+            for a, first in parts[x]
+            for b, second in parts[y]
+            if a <= b
+            for own, nodes in ({a: first, b: second}).items()
+        ]
+        at = np.concatenate([nodes for *_, nodes in dealt])
+        new = {c: np.concatenate([np.full(len(d[3]), d[k]) for d in dealt]) for k, c in enumerate(("x", "y", "block"))}
+        return {**{c: group[c][at] for c in ("key", "node", "root")}, **new}
 
     return compare
 
@@ -567,7 +629,7 @@ def _links_of(shape: HyperMinHash) -> Callable[[Group], Group]:
     """Near pairs of a group whose full sets are similar enough; one link joins two components for good."""
 
     def compare(group: Group) -> Group:
-        pairs, similar = _near_pairs(group, shape)
+        [(pairs, similar)] = _flat(list(_near_pairs(group, shape)))
         texts = [t.encode() for t in group["text"]]
         doc, value = shingle_sets(split_words(texts, NOT_BLANK), shape.shingle)
         kinds, place = np.unique(value, return_inverse=True)
