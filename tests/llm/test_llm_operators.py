@@ -333,6 +333,45 @@ def test_lm_contexts_below_the_share_count_as_those_above(docs):
     assert np.allclose(np.asarray(first), np.asarray(second), rtol=1e-5)
 
 
+def test_lm_tables_by_byte_are_not_made_on_the_driver(spark):
+    """Contexts come to the driver with the successors they have, and few rows hold the counts."""
+    texts = [(i, " ".join(RNG.choice(["abc", "abd", "xyz", "q\x00r", "é中"]) for _ in range(80))) for i in range(30)]
+    small = spark.createDataFrame(texts, "doc_id long, text string")
+    counts = lm_scoring.corpus_counts(small.select("text"), 7)
+    runs = counts.filter(F.col("kind") == lm_scoring.GRAM).select("n", "size", "run").collect()
+    assert len(runs) <= 1 << lm_scoring.BUCKET_BITS
+    keys = [lm_scoring._unpack_run(bytes(r.run), r.size) for r in runs]
+    assert sum(r.n for r in runs) == sum(len(" ".join(t.split(" ")).encode()) + 1 for _, t in texts)
+    assert all((np.diff(k) > 0).all() and n.min() > 0 for k, n in keys)
+    tree = lm_scoring.fit_tree(counts, lm_scoring.TreeParams(least_share=1e-3))
+    held = sum(v.nbytes for v in vars(tree).values() if isinstance(v, np.ndarray))
+    assert len(tree.parent) > 10 and held < 256 * len(tree.parent)
+    assert np.allclose((10.0 ** tree.log_p.astype(float)).sum(1), 1, atol=1e-4)
+
+
+def test_lm_scores_follow_the_tree_with_and_without_a_share(spark):
+    """Scores equal a walk over the tree, and stay when long contexts are asked for in their buckets."""
+    texts = [(i, " ".join(RNG.choice(["abc", "abd", "xyz", "q\x00r", "é中"]) for _ in range(80))) for i in range(30)]
+    small = spark.createDataFrame(texts, "doc_id long, text string")
+    counts = lm_scoring.corpus_counts(small.select("text"), 7)
+    total = counts.filter(F.col("kind") == lm_scoring.GRAM).agg(F.sum("n")).first()[0]
+    held = lm_scoring.fit_tree(counts, lm_scoring.TreeParams(least_share=19.5 / total))
+    child, log_p, want = held.child, held.log_p, {}
+    for i, text in texts:
+        data, want[i] = text.encode() + bytes([lm_scoring.END]), 0.0
+        padded = bytes([lm_scoring.PAD]) * 7 + data
+        for at in range(7, len(padded)):
+            node = 0
+            for k in range(1, 8):
+                if node >= len(child) or child[node, padded[at - k]] < 0:
+                    break
+                node = child[node, padded[at - k]]
+            want[i] += float(log_p[node, padded[at]])
+    for p in (lm_scoring.TreeParams(least_share=19.5 / total), lm_scoring.TreeParams(least_share=0.2, least_count=20)):
+        rows = lm_scoring.score_documents(small, F.lit(False), p).collect()
+        assert all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-5) for r in rows)
+
+
 def test_ledger_is_idempotent_and_signed(spark, docs, tmp_path):
     ledger = token_ledger.TokenLedger(spark, str(tmp_path))
     assert ledger.totals().count() == 0
