@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,16 +138,16 @@ class SuffixTree:
         """`log_p[s, x]`: log10 probability of x after s."""
         return self._logs[:, self._code]
 
-    def score(self, padded: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def score(self, padded: np.ndarray, at: np.ndarray, ask: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """log10 probability of each symbol from its longest context held here; lengths of that context.
 
-        The last lengths are those up to which `rare` may have longer ones.
+        The last lengths are those up to which `rare` may have longer ones, if `ask` wants to know.
         """
         code = self._code[padded]
-        blocks = [self._score(padded, code, at[i : i + BLOCK]) for i in range(0, max(1, len(at)), BLOCK)]
+        blocks = [self._score(padded, code, at[i : i + BLOCK], ask) for i in range(0, max(1, len(at)), BLOCK)]
         return tuple(np.concatenate(b) for b in zip(*blocks))
 
-    def _score(self, padded: np.ndarray, code: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _score(self, padded: np.ndarray, code: np.ndarray, at: np.ndarray, ask: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         row, steps = self._steps
         size = int(self._code.max()) + 1
         near = min(3, self.depth)
@@ -162,7 +163,7 @@ class SuffixTree:
             node[active] = deeper[on]
         length = self.length[node]
         longest = length.copy()
-        if self.bits is not None:
+        if ask and self.bits is not None:
             active = np.flatnonzero(length < self.depth)
             k = length[active] + 1
             context = _gram_keys(padded, at[active], self.depth) >> np.uint64(8)
@@ -613,11 +614,11 @@ def _filter_of(rare: DataFrame) -> np.ndarray | None:
     return bits.ravel()
 
 
-def _questions(gram: np.ndarray, length: np.ndarray, longest: np.ndarray, base: np.ndarray):
+def _questions(gram: np.ndarray, length: np.ndarray, longest: np.ndarray):
     """Questions of a piece of text by buckets, and which of them each of the given symbols asks.
 
-    A question is a symbol with its context as far as the filter let it go, the lengths to
-    look for, and the log10 probability from the last context above the share.
+    A question is a symbol with its context as far as the filter let it go. What tasks hold
+    is looked up again where it is answered, as that takes less room than to send it.
     """
     firsts, asks, n = [], np.empty(len(gram), np.int64), 0
     for k in range(1, 8):
@@ -635,10 +636,10 @@ def _questions(gram: np.ndarray, length: np.ndarray, longest: np.ndarray, base:
     place = np.empty(n, np.int32)
     place[order] = np.arange(n, dtype=np.int32)
     at, bucket = at[order], bucket[order]
-    span = (length[at] << 3 | longest[at]).astype(np.uint8)
+    high = longest[at].astype(np.uint8)
     cuts = np.append(_leads(bucket), n)
     questions = [
-        {"bucket": int(bucket[i]), "size": int(j - i), "blob": _pack(np.diff(gram[at[i:j]], prepend=np.uint64(0)), span[i:j], base[at[i:j]])}
+        {"bucket": int(bucket[i]), "size": int(j - i), "blob": _pack(np.diff(gram[at[i:j]], prepend=np.uint64(0)), high[i:j])}
         for i, j in zip(cuts[:-1], cuts[1:])
     ]
     return questions, place[asks]
@@ -659,9 +660,9 @@ class _RareContexts:
         at = np.argsort(entry)
         self.key, self.unseen, self.entry, self.log = key[order], rows.column("unseen").to_numpy()[order], entry[at], logs[at]
 
-    def answer(self, gram: np.ndarray, span: np.ndarray, base: np.ndarray) -> np.ndarray:
+    def answer(self, gram: np.ndarray, low: np.ndarray, high: np.ndarray, base: np.ndarray) -> np.ndarray:
         # From the shortest context on: a successor seen there has its own probability, another one that of the suffix.
-        value, low, high = base.astype(np.float64), span >> 3, span & 7
+        value = base.astype(np.float64)
         for k in range(1, 8):
             mine = np.flatnonzero((low < k) & (k <= high))
             key = gram[mine] >> np.uint64(8) & np.uint64((1 << 8 * k) - 1) | np.uint64(k << 56)
@@ -674,7 +675,7 @@ class _RareContexts:
         return value
 
 
-def _rare_scores(scored: DataFrame, rare: DataFrame) -> DataFrame:
+def _rare_scores(scored: DataFrame, rare: DataFrame, shared: Broadcast) -> DataFrame:
     """(row_id, rare_score): sums over the symbols whose context goes on below the share.
 
     A bucket's contexts reach a task before the questions of all pieces of text to it, and
@@ -701,9 +702,10 @@ def _rare_scores(scored: DataFrame, rare: DataFrame) -> DataFrame:
                     contexts, gathered = _RareContexts(gathered), []
                 blobs = []
                 for r in range(i, j):
-                    steps, span, base = _unpack(batch.column("blob")[r].as_py(), int(sizes[r]), np.uint64, np.uint8, np.float32)
+                    steps, high = _unpack(batch.column("blob")[r].as_py(), int(sizes[r]), np.uint64, np.uint8)
                     gram = np.cumsum(steps, dtype=np.uint64)
-                    values = base if contexts is None else contexts.answer(gram, span, base)
+                    held = shared.value[0].score(gram.astype(">u8").view(np.uint8), np.arange(7, 8 * len(gram), 8), ask=False)
+                    values = held[0] if contexts is None else contexts.answer(gram, held[1], high, held[0])
                     blobs.append(_pack(values.astype(np.float32)))
                 columns = [pieces[i:j], buckets[i:j], sizes[i:j]]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(blobs, pa.binary())], ["piece", "bucket", "size", "blob"])
@@ -792,7 +794,7 @@ def score_documents(docs: DataFrame, held_out, params: TreeParams = TreeParams()
             times = np.diff(np.searchsorted(np.flatnonzero(on), first)).astype(np.int32)
             asked = [None, None, None]
             if len(gram):
-                questions, asks = _questions(gram, length[on], longest[on], log_p[on])
+                questions, asks = _questions(gram, length[on], longest[on])
                 # Sorted within a text: the order does not matter to its sum, and steps take less room.
                 asks = np.sort(np.repeat(np.arange(n) << 32, times) | asks) & 0xFFFFFFFF
                 asked = [times, _pack(np.diff(asks.astype(np.int32), prepend=np.int32(0))), questions]
@@ -824,7 +826,7 @@ def score_documents(docs: DataFrame, held_out, params: TreeParams = TreeParams()
     whole = scored.drop("rare", "times", "times_asked", "asked", "questions").join(looked_up, "row_id", "left")
     score = F.col("score")
     if tree.rare is not None:
-        whole = whole.join(written(_rare_scores(scored, tree.rare), "rare-scores"), "row_id", "left")
+        whole = whole.join(written(_rare_scores(scored, tree.rare, shared), "rare-scores"), "row_id", "left")
         score = score + F.coalesce("rare_score", F.lit(0.0))
     per_token = math.log10(total + kinds + 1)
     return whole.select(
